@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
+from lectern.plans import registry
 from lectern.plans.academic import BANDS, LOADED_AT
+from lectern.specs import LAND_ORDER, TABLES, WAREHOUSE_TABLES
 
 _LOADED = f"TIMESTAMP '{LOADED_AT}' AS updated_at"
 
@@ -127,7 +129,7 @@ def with_tables(body: str, **extra: str) -> str:
     order: list[str] = []
 
     def visit(text: str) -> None:
-        for word in dict.fromkeys(re.findall(r"(?:FROM|JOIN)\s+(\w+)", text)):
+        for word in dict.fromkeys(re.findall(r"(?:FROM|JOIN)\s+"?(\w+)", text)):
             if word in known and word not in order:
                 visit(known[word])
                 if word not in order:
@@ -239,5 +241,196 @@ MART = {
 }
 
 
+def _declared(table: str, source: str | None = None) -> str:
+    """Declared columns of a table; those its source lacks as typed NULL."""
+    names = {"BIGINT": "BIGINT", "STRING": "VARCHAR", "BOOLEAN": "BOOLEAN",
+             "DOUBLE": "DOUBLE", "TIMESTAMP": "TIMESTAMP"}
+    text = CTE[table]
+    columns = [
+        name if re.search(rf"\b{name}\b", text) else f"CAST(NULL AS {names[kind]}) AS {name}"
+        for name, kind in TABLES[table].columns
+    ]
+    return f"SELECT {', '.join(columns)} FROM {source or table}"
+
+
+_SCORES = _declared("score_fact")
+_REVISED = f"""
+    SELECT * REPLACE (least(final_score + 0.25, 10.0) AS final_score,
+                      TIMESTAMP '{registry.END}' AS etl_date)
+    FROM scores WHERE last_modified_date >= TIMESTAMP '{registry.OVERLAP}'"""
+_FIRST = f"""
+    SELECT * FROM scores WHERE last_modified_date <= TIMESTAMP '{registry.SPLIT}'"""
+_LANDED_SCORES = _SCORES.replace(" FROM", ", updated_at FROM")
+_NOW = registry.NOW.strftime("%Y-%m-%d %H:%M:%S.%f")
+_EPOCH = int(registry.NOW.timestamp())
+
+
+def _between(window: tuple[str, str]) -> str:
+    return f"updated_at BETWEEN TIMESTAMP '{window[0]}' AND TIMESTAMP '{window[1]}'"
+
+
+def _union(parts: list[str]) -> str:
+    return " UNION ALL ".join(parts)
+
+
+def _length_checks() -> str:
+    return _union([
+        f"""SELECT '{spec.name}' AS table_name,
+                   concat_ws('/', {", ".join(spec.key)}) AS row_key,
+                   '{column}' AS column_name, CAST({limit} AS INTEGER) AS max_length,
+                   CAST(length({column}) AS INTEGER) AS length
+            FROM "{spec.name}" WHERE length({column}) > {limit}"""
+        for spec in TABLES.values() for column, limit in spec.lengths.items()
+        if re.search(rf"\b{column}\b", CTE[spec.name])
+    ])
+
+
+def _reference_checks() -> str:
+    return _union([
+        f"""SELECT '{spec.name}' AS table_name, '{fk.column}' AS column_name,
+                   CAST({fk.column} AS VARCHAR) AS value, count(*) AS n_rows
+            FROM {spec.name}
+            WHERE {fk.column} NOT IN (SELECT {fk.parent_column} FROM "{fk.table}")
+            GROUP BY 3"""
+        for spec in TABLES.values() for fk in spec.foreign_keys
+    ])
+
+
+_COHORTS = """
+    SELECT DISTINCT '/landing/' || o_custkey AS root, o_orderkey % 12 AS cohort,
+           CASE WHEN o_orderpriority = '1-URGENT' THEN 'current' ELSE 'plain' END AS state
+    FROM orders"""
+_ROOTS = """
+    SELECT root, count(*) FILTER (WHERE state = 'current') AS n_current,
+           max(cohort) FILTER (WHERE state = 'current') AS closing
+    FROM cohorts GROUP BY root"""
+_PROBLEMS = """
+    SELECT root, closing,
+           CASE WHEN n_current = 0 THEN 'no current batch'
+                WHEN n_current > 1 THEN 'several current batches'
+                WHEN EXISTS (SELECT 1 FROM cohorts c WHERE c.root = roots.root
+                             AND c.cohort = closing AND c.state = 'plain')
+                THEN 'closed name exists' END AS problem
+    FROM roots"""
+
+
+def _routes() -> str:
+    names = [*LAND_ORDER, "other", "report", "SCORE_FACT"]
+    tables = " ".join(
+        f"WHEN contains(lower(file_name), '{t}') THEN '{t}'"
+        for t in sorted(TABLES, key=len, reverse=True)
+    )
+    return f"""
+        SELECT *, CASE WHEN extension = 'exe' THEN 'unknown type'
+                       WHEN extension <> 'csv' THEN 'not csv'
+                       WHEN table_name IS NULL THEN 'no table' ELSE 'accepted' END AS verdict
+        FROM (SELECT file_name, lower(string_split(file_name, '.')[-1]) AS extension,
+                     CASE {tables} END AS table_name
+              FROM (SELECT {names!r}[o_orderkey % {len(names)} + 1] || '_' || o_orderkey
+                           || '.' || ['csv', 'CSV', 'pdf', 'exe'][o_custkey % 4 + 1]
+                           AS file_name FROM orders))"""
+
+
+OPERATOR = {
+    "extract_full": with_tables(_SCORES),
+    "extract_window": with_tables(f"{_SCORES} WHERE {_between(registry.WINDOW)}"),
+    "schema_cast": """
+        SELECT o_orderkey AS order_id,
+               CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END AS placed_at,
+               o_totalprice AS total,
+               CASE o_orderstatus WHEN 'O' THEN true WHEN 'F' THEN false END AS is_open,
+               nullif(o_orderpriority, '5-LOW') AS priority
+        FROM orders""",
+    "schema_conform": with_tables(_declared("employee")),
+    "csv_ingest": """
+        SELECT CAST(c_custkey AS VARCHAR) AS student_id, c_name AS student_name,
+               CASE WHEN c_nationkey % 2 = 0 THEN c_mktsegment END AS class_name,
+               CAST(NULL AS VARCHAR) AS edu_mail, CAST(NULL AS BIGINT) AS address_id,
+               CASE WHEN c_nationkey % 2 = 0 THEN c_custkey END AS national_id,
+               CAST(NULL AS VARCHAR) AS key_year, CAST(NULL AS VARCHAR) AS gender,
+               CASE WHEN c_nationkey % 2 = 1 THEN TIMESTAMP '2001-05-17 00:00:00'
+                    ELSE TIMESTAMP '2001-05-17 08:30:00' END AS student_dob
+        FROM customer""",
+    "staging_scan": with_tables(_declared("enrollment_fact")),
+    "staging_counts": with_tables(
+        "SELECT *, n_rows = 0 AS skipped FROM (" + _union([
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t} "
+            f"WHERE {_between(registry.EARLY_WINDOW)}"
+            for t in WAREHOUSE_TABLES
+        ]) + ")"),
+    "bulk_load": "SELECT * FROM customer",
+    "merge_upsert": with_tables(
+        """SELECT * FROM first_batch
+           WHERE score_id NOT IN (SELECT score_id FROM revised)
+           UNION ALL SELECT * FROM revised""",
+        scores=_SCORES, revised=_REVISED, first_batch=_FIRST),
+    "merge_metrics": with_tables(
+        """SELECT count(*) FILTER (WHERE f.score_id IS NULL) AS inserted,
+                  count(*) FILTER (WHERE f.score_id = r.score_id) AS updated,
+                  count(*) FILTER (WHERE r.score_id IS NULL) AS unchanged,
+                  count(*) AS total
+           FROM first_batch f FULL JOIN revised r ON f.score_id = r.score_id""",
+        scores=_SCORES, revised=_REVISED, first_batch=_FIRST),
+    "merge_dedup": """
+        SELECT * FROM lineitem QUALIFY row_number() OVER (
+            PARTITION BY l_orderkey, l_linenumber
+            ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                     l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                     l_linestatus DESC) = 1""",
+    "insert_ignore": f"""
+        SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority,
+               CASE WHEN o_orderstatus <> 'O' THEN o_orderdate
+                    WHEN o_orderdate >= TIMESTAMP '{registry.WINDOW[0]}'
+                    THEN TIMESTAMP '{_NOW}' END AS updated_at
+        FROM orders QUALIFY row_number() OVER (
+            PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) = 1""",
+    "check_primary_key": """
+        SELECT l_orderkey, l_linenumber, count(*) AS n_rows, 'duplicate key' AS problem
+        FROM lineitem GROUP BY ALL HAVING count(*) > 1""",
+    "check_foreign_key": with_tables(_reference_checks()),
+    "check_length": with_tables(_length_checks()),
+    "route_files": _routes(),
+    "current_batch": with_tables(
+        """SELECT root, n_current, CASE WHEN n_current = 1 THEN closing END AS cohort,
+                  CASE WHEN n_current = 0 THEN 'no current batch'
+                       WHEN n_current > 1 THEN 'several current batches' END AS problem
+           FROM roots""", cohorts=_COHORTS, roots=_ROOTS),
+    "batch_rotate": with_tables(
+        """SELECT root, cohort, problem,
+                  CASE WHEN problem IS NOT NULL THEN state
+                       WHEN state = 'current' THEN 'plain'
+                       WHEN cohort = closing + 1 THEN 'current' ELSE state END AS state
+           FROM cohorts JOIN problems USING (root)""",
+        cohorts=_COHORTS, roots=_ROOTS, problems=_PROBLEMS),
+    "batch_window": f"""
+        SELECT 'load_' || c_custkey AS pipeline,
+               coalesce(max(o_orderdate) FILTER (WHERE o_orderpriority <> '1-URGENT'
+                                                 AND o_orderstatus = 'F'),
+                        (SELECT max(o_orderdate) FROM orders
+                         WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'))
+                   AS ext_from,
+               date_trunc('second', TIMESTAMP '{_NOW}') AS ext_to
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
+    "archive_raw": f"""
+        SELECT 'student' AS table_name, CAST({_EPOCH} AS BIGINT) AS ingest_epoch,
+               'student_{_EPOCH}.csv' AS archived_as, c_custkey || ',' || c_name AS line
+        FROM customer""",
+    "mart_mirror": with_tables(MART["score_distribution"]),
+    "serve_sorted": with_tables(MART["student_performance"]),
+    "warehouse_bulk_run": with_tables(MART["student_program_completion"]),
+    "warehouse_incremental_run": with_tables(MART["student_performance"]),
+    "land_bulk": with_tables(_union([
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(updated_at) AS n_stamped "
+        f"FROM {t}" for t in LAND_ORDER])),
+    "land_batch": with_tables(_LANDED_SCORES),
+    "stream_upsert": """
+        SELECT user_id, ts, event_id, event_type, value
+        FROM (SELECT * FROM events QUALIFY row_number() OVER (
+                  PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+        WHERE event_type <> 'error'""",
+    "stream_land": with_tables(_LANDED_SCORES),
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_tables(body) for name, body in MART.items()}
+    return {name: with_tables(body) for name, body in MART.items()} | OPERATOR
