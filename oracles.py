@@ -129,7 +129,7 @@ def with_tables(body: str, **extra: str) -> str:
     order: list[str] = []
 
     def visit(text: str) -> None:
-        for word in dict.fromkeys(re.findall(r"(?:FROM|JOIN)\s+"?(\w+)", text)):
+        for word in dict.fromkeys(re.findall(r'(?:FROM|JOIN)\s+"?(\w+)', text)):
             if word in known and word not in order:
                 visit(known[word])
                 if word not in order:
