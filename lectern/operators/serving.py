@@ -28,3 +28,14 @@ def write_serving(df: DataFrame, path: str, order_key: str, grain: Sequence[str]
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def publish(spark: SparkSession, database: str, name: str, path: str, home: str) -> str:
+    """Declare a stored mart in the catalog, replacing an older declaration, with its
+    statistics.  ``home`` is the folder of the database."""
+    table = f"{database}.{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{home}'")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path=path, source="parquet")
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    return table
