@@ -346,17 +346,17 @@ def land_bulk(spark, sf_dir):
 
 
 def land_batch(spark, sf_dir):
-    """Two cohorts: early facts, then late ones; dimensions come with both."""
+    """Two cohorts: early seats and scores, then late ones; other files come with both."""
     lake = pipelines.Lake(spark, work_path(spark, "landbatch"))
     source = AcademicSource(spark, sf_dir)
     root = f"{lake.base}/data"
-    facts = [t for t in COHORT_FILES if TABLES[t].kind == "fact" and t != "instruction_lecturer"]
+    split = ["enroll_student", "score_fact", "score_detail"]
     stamp = F.col("updated_at")
 
     def write(table: str) -> None:
         rows = source[table]
-        early = rows.where(stamp <= _ts(SPLIT)) if table in facts else rows
-        late = rows.where(stamp >= _ts(SPLIT)) if table in facts else rows
+        early = rows.where(stamp <= _ts(SPLIT)) if table in split else rows
+        late = rows.where(stamp >= _ts(SPLIT)) if table in split else rows
         _write_csv(early, f"{root}/K17/{table}.csv")
         _write_csv(late, f"{root}/K18/{table}.csv")
 
