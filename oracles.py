@@ -123,9 +123,12 @@ CTE = {
 }
 
 
-def with_tables(body: str, **extra: str) -> str:
-    """Prefix a statement with the table expressions it uses, directly or through others."""
-    known = {**CTE, **extra}
+def with_tables(body: str, only: tuple[str, ...] = (), **extra: str) -> str:
+    """Prefix a statement with the table expressions it uses, directly or through others.
+
+    ``only`` limits the expressions; other names are then tables of the database.
+    """
+    known = {n: t for n, t in CTE.items() if not only or n in only} | extra
     order: list[str] = []
 
     def visit(text: str) -> None:
