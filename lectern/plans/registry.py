@@ -357,13 +357,13 @@ def land_batch(spark, sf_dir):
         rows = source[table]
         early = rows.where(stamp <= _ts(SPLIT)) if table in split else rows
         late = rows.where(stamp >= _ts(SPLIT)) if table in split else rows
-        _write_csv(early, f"{root}/K17/{table}.csv")
+        _write_csv(early, f"{root}/K17_current/{table}.csv")
         _write_csv(late, f"{root}/K18/{table}.csv")
 
     lake.together(write, COHORT_FILES)
-    pipelines.open_ledger(lake, [f"{root}/K16", f"{root}/K17_current", f"{root}/K18"])
+    pipelines.register_cohorts(lake, [f"{root}/K16", f"{root}/K17_current", f"{root}/K18"])
     for _ in range(2):
-        pipelines.land_batch(lake, root, NOW, lambda cohort: f"{root}/K{cohort}")
+        pipelines.land_batch(lake, root, NOW)
     return lake.source("score_fact").read()
 
 

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
+
+from lectern.operators.upsert import rows_to_insert
+from lectern.specs import TABLES
 
 INSERT_PAGE = 1000
 
@@ -60,3 +65,48 @@ def append_table(df: DataFrame, url: str, table: str, **connection) -> None:
         .options(url=url, dbtable=table, batchsize=str(INSERT_PAGE), **connection)
         .save()
     )
+
+
+def insert_ignore(
+    batch: DataFrame, url: str, table: str, key: list[str], arrival: list[str],
+    now: Column | None = None, **connection,
+) -> None:
+    """Append the rows whose keys the database table lacks; only its keys are read."""
+    held = read_table(batch.sparkSession, url, table, **connection)
+    append_table(rows_to_insert(held, batch, key, arrival, now), url, table, **connection)
+
+
+class JdbcSource(Mapping):
+    """The declared tables of a database.  Tables with a numeric key are read by ranges
+    of it, the others by one task unless ``predicates`` names conditions for them."""
+
+    def __init__(
+        self, spark: SparkSession, url: str, num_partitions: int = 64,
+        predicates: Mapping[str, list[str]] | None = None, **connection,
+    ):
+        self.spark, self.url, self.num_partitions = spark, url, num_partitions
+        self.predicates = dict(predicates or {})
+        self.connection = connection
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name in self.predicates:
+            return read_by_predicates(
+                self.spark, self.url, name, self.predicates[name], **self.connection
+            )
+        return read_table(
+            self.spark, self.url, name, self.partition_column(name),
+            num_partitions=self.num_partitions, **self.connection,
+        )
+
+    @staticmethod
+    def partition_column(name: str) -> str | None:
+        spec = TABLES[name]
+        return next(
+            (k for k in spec.key if isinstance(spec.schema[k].dataType, T.LongType)), None
+        )

@@ -300,12 +300,15 @@ def _reference_checks() -> str:
 
 
 _COHORTS = """
-    SELECT DISTINCT '/landing/' || o_custkey AS root, o_orderkey % 12 AS cohort,
-           CASE WHEN o_orderpriority = '1-URGENT' THEN 'current' ELSE 'plain' END AS state
-    FROM orders"""
+    SELECT *, root || '/K' || cohort || CASE state WHEN 'current' THEN '_current' ELSE '' END
+              AS folder
+    FROM (SELECT DISTINCT '/landing/' || o_custkey AS root, o_orderkey % 12 AS cohort,
+                 CASE WHEN o_orderpriority = '1-URGENT' THEN 'current' ELSE 'plain' END AS state
+          FROM orders)"""
 _ROOTS = """
     SELECT root, count(*) FILTER (WHERE state = 'current') AS n_current,
-           max(cohort) FILTER (WHERE state = 'current') AS closing
+           max(cohort) FILTER (WHERE state = 'current') AS closing,
+           any_value(folder) FILTER (WHERE state = 'current') AS folder
     FROM cohorts GROUP BY root"""
 _PROBLEMS = """
     SELECT root, closing,
@@ -395,11 +398,12 @@ OPERATOR = {
     "route_files": _routes(),
     "current_batch": with_tables(
         """SELECT root, n_current, CASE WHEN n_current = 1 THEN closing END AS cohort,
+                  CASE WHEN n_current = 1 THEN folder END AS folder,
                   CASE WHEN n_current = 0 THEN 'no current batch'
                        WHEN n_current > 1 THEN 'several current batches' END AS problem
            FROM roots""", cohorts=_COHORTS, roots=_ROOTS),
     "batch_rotate": with_tables(
-        """SELECT root, cohort, problem,
+        """SELECT root, cohort, folder, problem,
                   CASE WHEN problem IS NOT NULL THEN state
                        WHEN state = 'current' THEN 'plain'
                        WHEN cohort = closing + 1 THEN 'current' ELSE state END AS state

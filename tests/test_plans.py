@@ -1,0 +1,66 @@
+"""Plans of the lazy queries: no all-pairs join, no Python, another way beyond broadcasts."""
+
+import pytest
+
+from lectern.plans import registry
+from lectern.plans.academic import AcademicWarehouse
+from lectern.plans import marts
+
+LAZY = [
+    "student_performance", "course_performance", "lecturer_performance",
+    "instruction_aggregate", "score_distribution", "student_program_completion",
+    "student_performance_v1", "course_performance_v1", "lecturer_performance_v1",
+    "instruction_aggregate_v1", "score_histogram_v1", "extract_window", "schema_cast",
+    "schema_conform", "merge_metrics", "merge_dedup", "insert_ignore", "check_primary_key",
+    "check_foreign_key", "check_length", "route_files", "current_batch", "batch_rotate",
+    "batch_window",
+]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("key", LAZY)
+def test_no_pairs_no_python(spark, sf_dir, key):
+    plan = plan_of(registry.queries()[key](spark, sf_dir))
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Window "):
+        assert forbidden not in plan
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_marts_without_broadcast(spark, sf_dir, no_broadcast):
+    tables = AcademicWarehouse(spark, sf_dir)
+    for name, (build, _, grain) in marts.MARTS.items():
+        df = build(tables)
+        assert "BroadcastExchange" not in plan_of(df), name
+        assert df.count() == df.select(*grain).distinct().count() > 0, name
+
+
+def test_facts_are_folded_before_they_meet(spark, sf_dir):
+    """Scores reach the shuffle as one row per class and rank, or per lecturer's class."""
+    tables = AcademicWarehouse(spark, sf_dir)
+    for build in (marts.score_distribution, marts.lecturer_performance,
+                  marts.student_performance):
+        plan = plan_of(build(tables))
+        assert plan.count("partial_count") + plan.count("partial_sum") >= 2
+        first = plan[: plan.rindex("FileScan")]
+        assert "partial_" in first
+
+
+def test_invariants(spark, sf_dir):
+    tables = AcademicWarehouse(spark, sf_dir)
+    done = marts.student_program_completion(tables)
+    assert done.where(
+        "total_required_credit_passed > total_required_credit_registered or "
+        "total_elective_credit_passed > total_elective_credit_registered").isEmpty()
+    assert marts.course_performance(tables).where(
+        "num_students_passed > num_students_enrolled").isEmpty()
