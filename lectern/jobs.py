@@ -29,6 +29,8 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("base", help="folder of the lake, shared by all executors")
     top.add_argument("--buckets", type=int)
     top.add_argument("--parallel", type=int, default=4, help="tables handled side by side")
+    top.add_argument("--no-checks", action="store_true",
+                     help="land files that break references or text limits")
     top.add_argument("--jdbc-url")
     top.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     top.add_argument("--jdbc-partitions", type=int, default=64)
@@ -57,16 +59,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     lake = pipelines.Lake(spark, args.base, args.buckets, args.parallel)
     now = datetime.now(timezone.utc)
     if args.job == "land-bulk":
-        pipelines.land_bulk(lake, args.folder, now)
+        pipelines.land_bulk(lake, args.folder, now, enforce=not args.no_checks)
     elif args.job == "register-cohorts":
         pipelines.register_cohorts(lake, args.folders)
     elif args.job == "land-batch":
-        pipelines.land_batch(lake, args.root, now)
+        pipelines.land_batch(lake, args.root, now, enforce=not args.no_checks)
     elif args.job == "watch":
         from lectern.streaming.land import start_landing
 
         start_landing(
-            lake, args.folder, f"{lake.base}/checkpoint/watch", processingTime="1 minute"
+            lake, args.folder, f"{lake.base}/checkpoint/watch", enforce=not args.no_checks,
+            processingTime="1 minute",
         ).awaitTermination()
     elif args.job == "bulk":
         pipelines.run_bulk(lake, source_of(lake, args), now)

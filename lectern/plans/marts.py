@@ -110,22 +110,28 @@ def course_performance(t: Tables) -> DataFrame:
 
 
 def lecturer_performance(t: Tables, status: str | None = "completed") -> DataFrame:
-    """Scores are folded per instruction before they meet the lecturer listings, so a
-    class of n scores and m listings costs n + m rows, not n * m."""
+    """Scores are folded per instruction and listings per lecturer and instruction before
+    they meet, so a class of n scores and m listings costs n + m rows, not n * m.  Folded
+    listings make distinct classes a plain count; each listing still weighs the average."""
     per_instruction = t["score_fact"].groupBy("instruction_id").agg(
         F.sum("final_score").alias("score_sum"), F.count("final_score").alias("score_count")
     )
+    listings = (
+        t["instruction_lecturer"].groupBy("lecturer_id", "instruction_id")
+        .agg(F.count("*").alias("n_listings"))
+    )
+    classes = offerings(t, ["course_name"], ["semester_name"], status).join(
+        per_instruction, "instruction_id"
+    )
     per_lecturer = (
-        t["instruction_lecturer"].select("instruction_id", "lecturer_id")
-        .join(
-            offerings(t, ["course_name"], ["semester_name"], status)
-            .join(per_instruction, "instruction_id"),
-            "instruction_id",
-        )
+        listings.join(classes, "instruction_id")
         .groupBy("lecturer_id", "course_id", "course_name", "semester_name")
         .agg(
-            F.count_distinct("instruction_id").alias("num_classes_taught"),
-            S.mean(F.sum("score_sum"), F.sum("score_count")).alias("average_class_score"),
+            F.count("*").alias("num_classes_taught"),
+            S.mean(
+                F.sum(F.col("n_listings") * F.col("score_sum")),
+                F.sum(F.col("n_listings") * F.col("score_count")),
+            ).alias("average_class_score"),
         )
     )
     names = (

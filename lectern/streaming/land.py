@@ -16,7 +16,7 @@ _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 def start_landing(
     lake: Lake, folder: str, checkpoint: str, max_files: int = 64,
-    now: datetime | None = None, by_folder: bool = False, **trigger,
+    now: datetime | None = None, by_folder: bool = False, enforce: bool = True, **trigger,
 ) -> StreamingQuery:
     """Watch a folder and land its CSV files, routed by name, parents before children.
 
@@ -45,7 +45,7 @@ def start_landing(
                 accepted.setdefault(row["table_name"], []).append(row["path"])
         for table in LAND_ORDER:
             if table in accepted:
-                land_files(lake, table, accepted[table], at)
+                land_files(lake, table, accepted[table], at, enforce=enforce)
         rejected = routed.where(F.col("verdict") != "accepted").select("path", "verdict")
         if not rejected.isEmpty():
             rejected.write.mode("append").parquet(f"{lake.base}/rejected")

@@ -154,6 +154,24 @@ def test_landing_keeps_the_first_of_repeated_rows(spark, tmp_path):
         pipelines.land_files(lake, "program", str(path), NOW)
 
 
+def test_landing_refuses_broken_constraints(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    parent, child = tmp_path / "program.csv", tmp_path / "program_semester.csv"
+    parent.write_text("program_id,class_of\nP,x\n")
+    pipelines.land_files(lake, "program", str(parent), NOW)
+    child.write_text("program_semester_id,program_id\nP_1,P\nQ_1,Q\nR_1,\n")
+    with pytest.raises(pipelines.ConstraintError, match="program_id = Q is not in program"):
+        pipelines.land_files(lake, "program_semester", str(child), NOW)
+    child.write_text("program_semester_id,program_id,semester_name\nP_1,P," + "x" * 21 + "\n")
+    with pytest.raises(pipelines.ConstraintError, match="21 characters, 20 allowed"):
+        pipelines.land_files(lake, "program_semester", str(child), NOW)
+    assert lake.source("program_semester").versions() == []
+    pipelines.land_files(lake, "program_semester", str(child), NOW, enforce=False)
+    child.write_text("program_semester_id,program_id\nP_2,P\nR_1,\n")
+    pipelines.land_files(lake, "program_semester", str(child), NOW)
+    assert lake.source("program_semester").read().count() == 3
+
+
 CHANGES = "user_id long, ts timestamp, event_id long, event_type string, value double, operation string"
 
 
