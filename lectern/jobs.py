@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lectern.jobs")
     top.add_argument("base", help="folder of the lake, shared by all executors")
     top.add_argument("--buckets", type=int)
-    top.add_argument("--parallel", type=int, default=4, help="tables handled side by side")
+    top.add_argument("--parallel", type=int, default=8, help="tables handled side by side")
     top.add_argument("--no-checks", action="store_true",
                      help="land files that break references or text limits")
     top.add_argument("--jdbc-url")

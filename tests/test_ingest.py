@@ -63,7 +63,7 @@ def test_bad_timestamp_is_null(spark):
     ("d", ("1", "x", "True", "much", None)),
 ])
 def test_bad_numbers_name_their_column(spark, column, values):
-    with pytest.raises(SparkRuntimeException, match=f"Error casting column '{column}'"):
+    with pytest.raises(SparkRuntimeException, match=f"column {column} takes"):
         cast_declared(text(spark, values), SPEC).collect()
 
 
@@ -71,7 +71,7 @@ def test_fractional_double_is_not_a_bigint(spark):
     df = spark.createDataFrame([(1.0,), (None,), (2.5,)], "i double")
     whole = df.select(cast_column("i", "BIGINT", T.DoubleType()))
     assert [r["i"] for r in whole.where("i is null or i < 2").limit(1).collect()] == [1]
-    with pytest.raises(SparkRuntimeException, match="Error casting column 'i'"):
+    with pytest.raises(SparkRuntimeException, match="column i takes"):
         whole.collect()
 
 
@@ -227,7 +227,7 @@ def test_refused_files(spark):
     got = {r["file_name"]: r["verdict"] for r in landing.route_files(files).collect()}
     assert got == {"other.csv": "no table", "student.pdf": "not csv",
                    "student.exe": "unknown type", "student": "unknown type"}
-    with pytest.raises(ValueError, match="does not contain a valid table name"):
+    with pytest.raises(ValueError, match="no table is named"):
         landing.table_for_file("other.csv")
 
 

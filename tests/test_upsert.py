@@ -8,10 +8,11 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from lectern.operators import upsert
-from lectern.sources.snapshots import KEY_BLOCK, SnapshotTable
+from lectern.sources.snapshots import KEY_BLOCK_BITS, SnapshotTable
 from lectern.specs import TABLES, TableSpec
 from tests.tables import frame, only, rows
 
+KEY_BLOCK = 1 << KEY_BLOCK_BITS
 KV = "k long, v string"
 SPEC = TableSpec("kv", "source", (("k", "BIGINT"), ("v", "STRING")), ("k",))
 
