@@ -9,6 +9,8 @@ function of the data alone.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,10 +20,7 @@ class DuplicateKeyError(ValueError):
 
 
 def keys_present(key: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for column in key:
-        present = present & F.col(column).isNotNull()
-    return present
+    return reduce(and_, [F.col(column).isNotNull() for column in key])
 
 
 def _fold(df: DataFrame, key: Sequence[str], order: Sequence[str], pick) -> DataFrame:
@@ -75,6 +74,17 @@ def merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame
     )
 
 
+def merge_into(source: DataFrame, table: str, key: Sequence[str]) -> None:
+    """The same upsert inside a catalog whose tables take row-level writes."""
+    same_key = reduce(
+        and_, [F.col(f"{table}.{c}") == F.col(f"source.{c}") for c in key]
+    )
+    (
+        source.alias("source").mergeInto(table, same_key)
+        .whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    )
+
+
 def merge_metrics(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows a merge would insert, update and leave, and the row count after it."""
     sides = (

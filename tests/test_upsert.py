@@ -4,7 +4,7 @@ import itertools
 import random
 
 import pytest
-from pyspark.errors import SparkRuntimeException
+from pyspark.errors import SparkRuntimeException, UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from lectern.operators import upsert
@@ -198,3 +198,13 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     assert got.where("k = 0").collect()[0]["n"] == 29_997
     assert got.count() == 20_001
     assert rows(upsert.duplicate_keys(df, ["k"])) == [{"k": 0, "n_rows": 10_000}]
+
+
+def test_plain_tables_refuse_row_level_merges(spark, tmp_path):
+    """Why versioned tables exist; a catalog with row-level writes would take this merge."""
+    spark.sql(f"CREATE TABLE merge_t (k BIGINT, v STRING) USING parquet LOCATION '{tmp_path}/t'")
+    try:
+        with pytest.raises(UnsupportedOperationException, match="TABLE_OPERATION"):
+            upsert.merge_into(kv(spark, (1, "a")), "merge_t", ["k"])
+    finally:
+        spark.sql("DROP TABLE merge_t")
