@@ -6,6 +6,7 @@
     python -m lectern.jobs <base> watch <folder>
     python -m lectern.jobs <base> bulk
     python -m lectern.jobs <base> incremental [<load> ...]
+    python -m lectern.jobs <base> marts [current|v1]
 
 Loads read the lake's own source tables, or a database when ``--jdbc-url`` is given
 (``--jdbc-option user=...`` for its connection options).
@@ -40,6 +41,9 @@ def parser() -> argparse.ArgumentParser:
     jobs.add_parser("land-batch").add_argument("root")
     jobs.add_parser("watch").add_argument("folder")
     jobs.add_parser("bulk")
+    jobs.add_parser("marts").add_argument(
+        "suite", nargs="?", default="current", choices=list(pipelines.SUITES)
+    )
     jobs.add_parser("incremental").add_argument(
         "loads", nargs="*", default=[], help=f"of {', '.join(pipelines.INCREMENTAL_LOADS)}"
     )
@@ -73,6 +77,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         ).awaitTermination()
     elif args.job == "bulk":
         pipelines.run_bulk(lake, source_of(lake, args), now)
+    elif args.job == "marts":
+        pipelines.rebuild_marts(lake, suite=args.suite)
     else:
         for load in args.loads or pipelines.load_order():
             pipelines.run_incremental(lake, load, source_of(lake, args), now)

@@ -12,6 +12,7 @@ and instruction, which feeds most of the others.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -28,6 +29,7 @@ BANDS = [
 ]
 
 _written: dict[tuple[str, str, str], str] = {}
+_writing = RLock()
 
 
 def _band(score: Column, position: int, lowest) -> Column:
@@ -58,10 +60,11 @@ class AcademicSource(Mapping):
 
     def _stored(self, label: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
-        if key not in _written:
-            path = work_path(self.spark, label)
-            build().write.parquet(path)
-            _written[key] = path
+        with _writing:  # tables are asked for by several threads of a run
+            if key not in _written:
+                path = work_path(self.spark, label)
+                build().write.parquet(path)
+                _written[key] = path
         return self.spark.read.parquet(_written[key])
 
     def store(self) -> None:

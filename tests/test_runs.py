@@ -136,6 +136,9 @@ def test_jobs_land_and_load(spark, tmp_path):
     jobs.main([*base, "incremental", "score_facts"], spark)
     lake = Lake(spark, str(tmp_path / "lake"))
     assert only(spark.read.parquet(lake.serving_path("student_performance")))["GPA"] == 1.0
+    jobs.main([*base, "marts", "v1"], spark)
+    older = spark.read.parquet(lake.serving_path("score_distribution", "v1"))
+    assert only(older)["score_range"] == "0-1"
     log = [(r["pipeline"], r["state"]) for r in spark.read.parquet(lake.runs).collect()]
     assert sorted(log) == [("bulk", "success"), ("score_facts", "success")]
 
