@@ -251,3 +251,6 @@ def test_jdbc_options():
         "partitionColumn": "address_id", "lowerBound": "1", "upperBound": "100",
         "numPartitions": "8"}
     assert "partitionColumn" not in jdbc.read_options("jdbc:x", "t", "k", (None, None), 8)
+    column = jdbc.JdbcSource.partition_column
+    assert [column(t) for t in ("course", "enroll_student", "student")] == [
+        "course_id", "enrollment_id", None]
