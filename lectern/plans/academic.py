@@ -17,7 +17,7 @@ from threading import RLock
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern.operators.conform import conform
-from lectern.session import work_path
+from lectern.session import is_complete, work_path
 from lectern.specs import TABLES
 
 LOADED_AT = "1995-01-01 00:00:00"
@@ -61,7 +61,7 @@ class AcademicSource(Mapping):
     def _stored(self, label: str, build) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, label)
         with _writing:  # tables are asked for by several threads of a run
-            if key not in _written:
+            if key not in _written or not is_complete(self.spark, _written[key]):
                 path = work_path(self.spark, label)
                 build().write.parquet(path)
                 _written[key] = path

@@ -48,6 +48,12 @@ def _local_folder() -> str:
     return _LOCAL[0]
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder is there and its job was committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def work_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"

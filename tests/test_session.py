@@ -1,0 +1,48 @@
+"""Work folders and the stored test tables."""
+
+from types import SimpleNamespace
+
+import pytest
+
+from lectern import session
+from lectern.plans import academic
+from lectern.plans.academic import AcademicSource, AcademicWarehouse
+from lectern.specs import TABLES
+
+
+def fake(master, folder=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda _name, default: folder or default),
+        sparkContext=SimpleNamespace(master=master))
+
+
+def test_shared_folder():
+    assert session.shared_folder(fake("yarn", "hdfs:///cp/")) == "hdfs:///cp"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(fake("spark://host:7077"))
+    local = session.shared_folder(fake("local[2]"))
+    assert local == session.shared_folder(fake("local[2]"))
+
+
+def test_stored_tables_are_written_once_and_again_when_gone(spark, sf_dir):
+    source = AcademicSource(spark, sf_dir)
+    n = source.study().count()
+    key = (spark.sparkContext.applicationId, sf_dir, "study")
+    path = academic._written[key]
+    source.study()
+    assert academic._written[key] == path
+    academic._written[key] = f"{path}-gone"
+    assert source.study().count() == n
+    assert academic._written[key] not in (path, f"{path}-gone")
+
+
+def test_every_table_conforms(spark, sf_dir):
+    tables = AcademicWarehouse(spark, sf_dir)
+    assert set(tables) == set(TABLES) and len(tables) == 15
+    for name, spec in TABLES.items():
+        df = tables[name]
+        assert [(f.name, f.dataType) for f in df.schema] == [
+            (f.name, f.dataType) for f in spec.schema]
+        assert df.count() == df.select(*spec.key).distinct().count() > 0
+    with pytest.raises(KeyError):
+        tables["unknown"]
