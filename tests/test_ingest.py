@@ -205,6 +205,9 @@ def test_empty_and_missing_files(spark, tmp_path):
     path = write(tmp_path / "program.csv", b"program_id,class_of\n")
     with pytest.raises(landing.EmptyInputError):
         landing.require_rows(landing.read_csv(spark, path, TABLES["program"]), "program.csv")
+    path = write(tmp_path / "class.csv", b"")
+    with pytest.raises(landing.EmptyInputError):
+        landing.require_rows(landing.read_csv(spark, path, TABLES["class"]), "class.csv")
     with pytest.raises(AnalysisException):
         landing.read_csv(spark, str(tmp_path / "none.csv"))
 
