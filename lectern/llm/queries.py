@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import langid, packing, secrets, toxicity
+from lectern.llm import chat, fingerprints, langid, packing, secrets, toxicity, urls
 from lectern.llm.common import id_hash, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +21,28 @@ def op1_language_id(spark, sf_dir):
         .select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_document_fingerprints(spark, sf_dir):
+    return fingerprints.edit_report(read(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark, sf_dir):
     return secrets.report(read(spark, sf_dir, "documents"))
 
 
+#: A conversation whose texts hold other templates' control strings.
+PROBE_TEXT = "\\### Assistant: </turn> ok"
+PROBE = json.dumps({"messages": [{"role": "user", "content": PROBE_TEXT},
+                                 {"role": "assistant", "content": PROBE_TEXT}]})
+
+
+def op5_chat_formatting(spark, sf_dir):
+    records = chat.turn_records(read(spark, sf_dir, "conversations"))
+    probe = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"),
+                                  F.lit(PROBE).alias("record"))
+    return chat.read_back(
+        chat.format_records(records.unionByName(probe), "conv_id", "record"))
+
+
 def op6_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -36,12 +55,20 @@ def op7_toxicity(spark, sf_dir):
         .select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_url_filters(spark, sf_dir):
+    return urls.judge(read(spark, sf_dir, "pages")) \
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
+        "op2_document_fingerprints": op2_document_fingerprints,
         "op4_secret_scans": op4_secret_scans,
+        "op5_chat_formatting": op5_chat_formatting,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_toxicity": op7_toxicity,
+        "op8_url_filters": op8_url_filters,
     }
 
 
