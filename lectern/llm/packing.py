@@ -46,10 +46,18 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: Marks that end a pre-token of letters; the tokenizer reads them on their own.
+MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
 class WordEncoder:
-    """Token ids of a text as little-endian unsigned 32-bit integers."""
+    """Token ids of a text as little-endian unsigned 32-bit integers.
 
-    def __init__(self, path: str, limit: int = 300_000):
+    Words met before are looked up.  New ones are cut where marks follow their letters, and
+    the distinct parts are encoded many at a time with a separator between them.
+    """
+
+    def __init__(self, path: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,25 +65,55 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.words: dict[str, bytes] = {}
         self.limit = limit
+        self.separator = next((c for c in "~^`|" if len(self.plain(c)) == 4), None)
+
+    def plain(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def parts(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each of some distinct parts without white space."""
+        mark = self.separator
+        if mark is None:
+            return {p: self.plain(p) for p in parts}
+        known = {p: self.plain(p) for p in parts if mark in p or ODD_SPACE.search(p)}
+        rest = [p for p in parts if p not in known]
+        groups = [rest[i:i + 256] for i in range(0, len(rest), 256)]
+        number = np.frombuffer(self.plain(mark), "<u4")[0]
+        for at in range(0, len(groups), 16):
+            some = groups[at:at + 16]
+            for group, found in zip(some, self.tokenizer.encode_batch(
+                    [f" {mark} ".join(g) for g in some], add_special_tokens=False), strict=True):
+                ids = np.array(found.ids, "<u4")
+                cuts = np.flatnonzero(ids == number)
+                data = ids.tobytes()
+                starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
+                known.update((p, data[a:b]) for p, a, b in zip(group, starts, ends, strict=True))
+        return known
 
     def learn(self, texts: list[list[str]]) -> None:
-        new = list({w for words in texts for w in words if w not in self.words})
+        words = set().union(*texts)
+        new = words.difference(self.words)
         if len(self.words) + len(new) > self.limit:
             self.words.clear()
-            new = list({w for words in texts for w in words})
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            for word, found in zip(
-                part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True
-            ):
-                self.words[word] = np.array(found.ids, "<u4").tobytes()
+            new = words
+        cut = {}
+        for word in new:
+            core = word.rstrip(MARKS)
+            cut[word] = (core, word[len(core):]) if core and core[-1].isalpha() else (word, "")
+        needed = {p for pair in cut.values() for p in pair if p and p not in self.words}
+        found = self.parts(sorted(needed))
+        found[""] = b""
+        known = self.words
+        for word, (core, tail) in cut.items():
+            known[word] = (found[core] if core in found else known[core]) + (
+                found[tail] if tail in found else known[tail])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [PLAIN_SPACE.split(t) if ODD_SPACE.search(t) else t.split()
+        split = [PLAIN_SPACE.split(t.strip(" \t\n\r")) if ODD_SPACE.search(t) else t.split()
                  for t in ((t or "") for t in texts)]
         self.learn(split)
         known = self.words
-        return [b"".join([known[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 PIECE = [
