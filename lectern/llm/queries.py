@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.llm import chat, fingerprints, langid, packing, secrets, toxicity, urls
+from lectern.llm import (
+    chat, extraction, fingerprints, langid, packing, secret_scan, toxicity, urls,
+)
 from lectern.llm.common import id_hash, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +28,7 @@ def op2_document_fingerprints(spark, sf_dir):
 
 
 def op4_secret_scans(spark, sf_dir):
-    return secrets.report(read(spark, sf_dir, "documents"))
+    return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
 #: A conversation whose texts hold other templates' control strings.
@@ -60,6 +62,11 @@ def op8_url_filters(spark, sf_dir):
         .select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_html_extraction(spark, sf_dir):
+    return extraction.extract(read(spark, sf_dir, "pages")) \
+        .withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -69,6 +76,7 @@ def queries() -> dict[str, Query]:
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_toxicity": op7_toxicity,
         "op8_url_filters": op8_url_filters,
+        "op10_html_extraction": op10_html_extraction,
     }
 
 
