@@ -2,18 +2,21 @@
 
 A document's features are the distinct character n-grams of its words, hashed to a fixed
 number of slots.  Each slot's log-count ratio between the classes scales the feature, and
-logistic regression weighs the scaled features.  Ratios and weights are learnt on the
-driver from a bounded sample of labelled rows; they are applied in batches to whole texts.
+logistic regression weighs the scaled features.  Spark counts the sample's documents by
+slot; ratios and weights are learnt on the driver from a bounded sample of labelled rows and
+applied in batches to whole texts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lectern.llm.common import col, mix, with_python
+from lectern.llm.common import bounded_batches, col, mix, stored, with_python
 
 ORDERS = (2, 3, 4, 5)
 SLOTS = 1 << 19
@@ -92,32 +95,29 @@ class Features:
         return slots[self.place[slots] == order]
 
 
-def train(rows: list[tuple[int, np.ndarray]], scale: tuple[float, float]) -> Classifier:
-    """Fit to (label, slots) rows; ``scale`` weighs each class for its share of the sample.
+def log_ratios(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int,
+               scale: tuple[float, float]) -> np.ndarray:
+    """Log-count ratio of each slot from its documents in each class; 0 for slots left out.
 
-    Without rows of both classes every score is 0 (clean rows only, or none) or 1.
+    ``scale`` weighs the classes (clean, toxic) for their share of the sample.
     """
+    up = (scale[1] * toxic + SMOOTHING) / (scale[1] * n_toxic + 2 * SMOOTHING)
+    down = (scale[0] * clean + SMOOTHING) / (scale[0] * n_clean + 2 * SMOOTHING)
+    often, rate = toxic + clean, n_toxic / (n_toxic + n_clean)
+    usual = np.abs(toxic - often * rate) < LEAST_SIGMAS * np.sqrt(often * rate * (1 - rate))
+    return np.where(usual | (often < LEAST_DOCS), 0.0, np.log(up / down))
+
+
+def train(rows: list[tuple[int, np.ndarray]], ratio: np.ndarray,
+          scale: tuple[float, float]) -> Classifier:
+    """Logistic regression on (label, slots in use) rows of both classes."""
     y = np.array([label for label, _ in rows], np.float64)
-    if len(rows) == 0 or y.min() == y.max():
-        return Classifier(np.zeros(SLOTS), 40.0 if len(rows) and y[0] == 1 else -40.0)
     owner = np.repeat(np.arange(len(rows)), [len(s) for _, s in rows])
     slot = np.concatenate([s for _, s in rows])
     weight = np.where(y == 1, scale[1], scale[0])
-    often = np.bincount(slot, minlength=SLOTS)
-    toxic = np.bincount(slot, weight[owner] * y[owner], SLOTS) + SMOOTHING
-    clean = np.bincount(slot, weight[owner] * (1 - y[owner]), SLOTS) + SMOOTHING
-    n_toxic, n_clean = (weight * y).sum(), (weight * (1 - y)).sum()
-    ratio = np.log((toxic / (n_toxic + 2 * SMOOTHING)) / (clean / (n_clean + 2 * SMOOTHING)))
-    count = np.bincount(slot, y[owner], SLOTS)
-    rate = y.mean()
-    ratio[(often < LEAST_DOCS)
-          | (np.abs(count - often * rate) < LEAST_SIGMAS * np.sqrt(often * rate * (1 - rate)))] = 0
-    used = ratio[slot] != 0
-    owner, slot = owner[used], slot[used]
-    x = ratio[slot]
-    w, bias = np.zeros(SLOTS), float(np.log(n_toxic / n_clean))
+    x, total = ratio[slot], weight.sum()
+    w, bias = np.zeros(SLOTS), float(np.log((weight * y).sum() / (weight * (1 - y)).sum()))
     first, second = np.zeros(SLOTS + 1), np.zeros(SLOTS + 1)
-    total = weight.sum()
     for step in range(1, STEPS + 1):
         score = np.bincount(owner, x * w[slot], len(rows)) + bias
         error = weight * (1 / (1 + np.exp(-np.clip(score, -40, 40))) - y) / total
@@ -130,32 +130,67 @@ def train(rows: list[tuple[int, np.ndarray]], scale: tuple[float, float]) -> Cla
     return Classifier(ratio * w, bias)
 
 
+def slot_counts(texts: DataFrame) -> DataFrame:
+    """(slot, toxic, clean): documents of each class that have a feature of the slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, counts = Features(), np.zeros((2, SLOTS), np.int64)
+        for batch in batches:
+            for label, slots in zip(batch.column(0).to_pylist(),
+                                    features(batch.column(1).to_pylist()), strict=True):
+                counts[label, slots] += 1
+        at = np.flatnonzero(counts.any(axis=0))
+        for i in range(0, len(at), 100_000):
+            part = at[i:i + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array(counts[1, part]), pa.array(counts[0, part])],
+                ["slot", "toxic", "clean"])
+
+    bounded_batches(texts.sparkSession)
+    found = texts.select("drawn_label", "drawn_text").mapInArrow(
+        run, "slot int, toxic long, clean long")
+    return found.groupBy("slot").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, doc_id: str = "doc_id",
         text: str = "text", label: str = "toxic") -> Classifier:
     """Train on the rows of ``labels`` where ``usable`` holds and the label is 0 or 1.
 
     SAMPLE_TOXIC and SAMPLE_CLEAN rows are drawn by a hash of the id, on average, so the
-    drawn ids are a table of bounded size, and so is what the driver receives.
+    drawn ids are a table of bounded size; the driver receives counts by slot and, of each
+    drawn row, the slots that made it into the model.  Without rows of both classes every
+    score is 1 (toxic rows only) or 0.
     """
     rows = labels.where(usable & col(doc_id).isNotNull() & col(label).isin(0, 1))
     n = {r[0]: r[1] for r in rows.groupBy(col(label)).count().collect()}
-    share = {k: min(1.0, bound / n.get(k, 1))
-             for k, bound in ((0, SAMPLE_CLEAN), (1, SAMPLE_TOXIC))}
+    if len(n) < 2:
+        return Classifier(np.zeros(SLOTS), 40.0 if 1 in n else -40.0)
+    share = {0: min(1.0, SAMPLE_CLEAN / n[0]), 1: min(1.0, SAMPLE_TOXIC / n[1])}
     draw = F.pmod(F.xxhash64(col(doc_id), F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     drawn = rows.where(draw < F.when(col(label) == 1, share[1]).otherwise(share[0])) \
         .select(col(doc_id).alias("drawn_id"), col(label).cast("int").alias("drawn_label"))
-    texts = docs.join(F.broadcast(drawn), col(doc_id) == F.col("drawn_id")) \
-        .select("drawn_id", "drawn_label", col(text).alias("drawn_text"))
+    texts = stored(
+        docs.join(F.broadcast(drawn), col(doc_id) == F.col("drawn_id"))
+        .select("drawn_id", "drawn_label", col(text).alias("drawn_text")), "labelled")
+    m = {r[0]: r[1] for r in texts.groupBy("drawn_label").count().collect()}
+    if len(m) < 2:
+        return Classifier(np.zeros(SLOTS), 40.0 if 1 in m else -40.0)
+    scale, counts = (1 / share[0], 1 / share[1]), np.zeros((2, SLOTS))
+    table = slot_counts(texts).toArrow()
+    at = table.column("slot").to_numpy()
+    counts[0, at], counts[1, at] = table.column("clean").to_numpy(), table.column("toxic").to_numpy()
+    ratio = log_ratios(counts[1], counts[0], m[1], m[0], scale)
+    used = np.packbits(ratio != 0)
 
     def worker():
-        features = Features()
+        features = Features(np.unpackbits(used).astype(bool))
         return lambda values: [[s.astype("<u4").tobytes() for s in features(values)]]
 
     found = with_python(texts, [F.col("drawn_text")], [("slots", T.BinaryType())], worker,
                         ["drawn_id", "drawn_label"]).collect()
     found = sorted((r["drawn_id"], r["drawn_label"], bytes(r["slots"])) for r in found)
     return train([(y, np.frombuffer(s, "<u4").astype(np.int64)) for _, y, s in found],
-                 (1 / share[0], 1 / share[1]))
+                 ratio, scale)
 
 
 def score(df: DataFrame, model: Classifier, text: str = "text",
