@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import (
-    chat, extraction, fingerprints, langid, packing, secret_scan, toxicity, urls,
+    chat, decontaminate, extraction, fingerprints, langid, packing, secret_scan, toxicity, urls,
 )
 from lectern.llm.common import id_hash, read
 
@@ -62,6 +62,10 @@ def op8_url_filters(spark, sf_dir):
         .select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_html_extraction(spark, sf_dir):
     return extraction.extract(read(spark, sf_dir, "pages")) \
         .withColumn("n_chars", F.length("text").cast("long"))
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op6_best_fit_packing": op6_best_fit_packing,
         "op7_toxicity": op7_toxicity,
         "op8_url_filters": op8_url_filters,
+        "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_html_extraction": op10_html_extraction,
     }
 
