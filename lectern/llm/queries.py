@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import (
-    chat, decontaminate, extraction, fingerprints, langid, packing, secret_scan, toxicity, urls,
+    chat, decontaminate, extraction, fingerprints, jaccard, langid, packing, secret_scan,
+    toxicity, urls,
 )
 from lectern.llm.common import id_hash, read
 
@@ -27,6 +28,10 @@ def op2_document_fingerprints(spark, sf_dir):
     return fingerprints.edit_report(read(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard_join(spark, sf_dir):
+    return jaccard.join(read(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark, sf_dir):
     return secret_scan.report(read(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op2_document_fingerprints": op2_document_fingerprints,
+        "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
         "op4_secret_scans": op4_secret_scans,
         "op5_chat_formatting": op5_chat_formatting,
         "op6_best_fit_packing": op6_best_fit_packing,
