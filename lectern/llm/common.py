@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -90,6 +92,14 @@ def flat_python(df: DataFrame, inputs: list[Column], fields: Fields, worker: Cal
     return source.mapInArrow(run, schema)
 
 
+def worker_state(name: str, make: Callable):
+    """What ``make`` returned first in this Python worker; it lives as long as the worker."""
+    held = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))
+    if not hasattr(held, name):
+        setattr(held, name, make())
+    return getattr(held, name)
+
+
 def id_hash(column: Column) -> Column:
     """crc32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")))

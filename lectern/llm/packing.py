@@ -1,8 +1,7 @@
 """Best-fit packing of tokenised documents into sequences, certified by lower bounds.
 
-1. Documents are tokenised in batches; whatever is longer than a sequence is cut.  White
-   space separates pre-tokens in this vocabulary, so words are encoded once for each task
-   and kept in a bounded cache.
+1. Documents are tokenised in batches; whatever is longer than a sequence is cut.  Words
+   are encoded once in each Python worker and kept in a bounded cache.
 2. Pieces (ids, lengths and checksums, no texts) are dealt to partitions of a few thousand
    and packed by best-fit decreasing.
 3. Dual feasible functions give a lower bound on each partition's number of sequences.  A
@@ -25,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lectern.llm.common import bounded_batches, col, flat_python, stored
+from lectern.llm.common import bounded_batches, col, flat_python, stored, worker_state
 
 SEQUENCE = 2048
 #: Pieces that one partition packs at once.
@@ -35,9 +34,12 @@ EXCHANGE = 6
 #: A certified partition gives up its last sequence if it is filled to less than this share.
 LAST_FILL = 0.75
 
-#: Separators in Python that the tokenizer's pattern does not take for white space.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
-PLAIN_SPACE = re.compile("[ \t\n\r]+")
+#: What is neither ASCII nor a Latin-1 letter.
+UNUSUAL = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
+# Fixed value: the vocabulary's pre-tokens in lower-cased bytes, where bytes over 127 spell
+# letters only.
+PRE_TOKEN = re.compile(
+    rb"[a-z\x80-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9\x80-\xff]+")
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -46,74 +48,53 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
-#: Marks that end a pre-token of letters; the tokenizer reads them on their own.
-MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
-
-
-class WordEncoder:
+class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit integers.
 
-    Words met before are looked up.  New ones are cut where marks follow their letters, and
-    the distinct parts are encoded many at a time with a separator between them.
+    Texts of ASCII and Latin-1 letters are cut into pre-tokens here.  Pre-tokens met before
+    are looked up; the distinct new ones of a batch go to the vocabulary's merges together.
+    Any other text goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
+        self.merges = Tokenizer(self.tokenizer.model)
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        # byte-level vocabularies spell bytes without a visible character by ones from 256 on
+        unseen = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+        self.spelling = {b: chr(256 + i) for i, b in enumerate(unseen) if b != 32}
+        self.known: dict[bytes, bytes] = {}
         self.limit = limit
-        self.separator = next((c for c in "~^`|" if len(self.plain(c)) == 4), None)
-
-    def plain(self, part: str) -> bytes:
-        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def parts(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of each of some distinct parts without white space."""
-        mark = self.separator
-        if mark is None:
-            return {p: self.plain(p) for p in parts}
-        known = {p: self.plain(p) for p in parts if mark in p or ODD_SPACE.search(p)}
-        rest = [p for p in parts if p not in known]
-        groups = [rest[i:i + 256] for i in range(0, len(rest), 256)]
-        number = np.frombuffer(self.plain(mark), "<u4")[0]
-        for at in range(0, len(groups), 16):
-            some = groups[at:at + 16]
-            for group, found in zip(some, self.tokenizer.encode_batch(
-                    [f" {mark} ".join(g) for g in some], add_special_tokens=False), strict=True):
-                ids = np.array(found.ids, "<u4")
-                cuts = np.flatnonzero(ids == number)
-                data = ids.tobytes()
-                starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
-                known.update((p, data[a:b]) for p, a, b in zip(group, starts, ends, strict=True))
-        return known
-
-    def learn(self, texts: list[list[str]]) -> None:
-        words = set().union(*texts)
-        new = words.difference(self.words)
-        if len(self.words) + len(new) > self.limit:
-            self.words.clear()
-            new = words
-        cut = {}
-        for word in new:
-            core = word.rstrip(MARKS)
-            cut[word] = (core, word[len(core):]) if core and core[-1].isalpha() else (word, "")
-        needed = {p for pair in cut.values() for p in pair if p and p not in self.words}
-        found = self.parts(sorted(needed))
-        found[""] = b""
-        known = self.words
-        for word, (core, tail) in cut.items():
-            known[word] = (found[core] if core in found else known[core]) + (
-                found[tail] if tail in found else known[tail])
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        met = set().union(*texts)
+        new = list(met.difference(self.known))
+        if len(self.known) + len(new) > self.limit:
+            self.known.clear()
+            new = list(met)
+        for at in range(0, len(new), 4096):
+            group = new[at:at + 4096]
+            spelt = b" ".join(group).decode("latin-1").translate(self.spelling)
+            found = self.merges.encode(spelt)
+            ids, owner = np.array(found.ids, "<u4"), np.array(found.word_ids)
+            cuts = (4 * np.searchsorted(owner, np.arange(len(group) + 1))).tolist()
+            data = ids.tobytes()
+            self.known.update((g, data[a:b]) for g, a, b in zip(group, cuts, cuts[1:]))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [PLAIN_SPACE.split(t.strip(" \t\n\r")) if ODD_SPACE.search(t) else t.split()
-                 for t in ((t or "") for t in texts)]
-        self.learn(split)
-        known = self.words
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        texts = [t or "" for t in texts]
+        usual = [not UNUSUAL.search(t) for t in texts]
+        cut = [PRE_TOKEN.findall(t.lower().encode()) if u else []
+               for t, u in zip(texts, usual, strict=True)]
+        self.learn(cut)
+        look_up = self.known.__getitem__
+        return [b"".join(map(look_up, tokens)) if u else
+                np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+                for t, u, tokens in zip(texts, usual, cut, strict=True)]
 
 
 PIECE = [
@@ -134,7 +115,7 @@ def tokenise(
     end = np.array([end_id], "<u4").tobytes()
 
     def worker():
-        encoder = WordEncoder(tokenizer)
+        encoder = worker_state(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
 
         def work(ids, texts):
             rows = []
