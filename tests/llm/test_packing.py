@@ -1,0 +1,137 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from lectern.llm import packing as P, queries
+from lectern.llm.common import read
+from tests.llm.helpers import ODD_TEXTS, clashing, empty, frame, prose, save
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return P.Encoder(P.public_tokenizer())
+
+
+def whole(encoder, text):
+    return encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_equal_the_tokenizers(encoder):
+    rng = random.Random(2)
+    parts = ["a", "B", "'", "s", "re", " ", "~", ",", ".", "!", "́", "é", "ß", "1", "½", "\n",
+             "\x1d", "\xa0", "Σ", "😀", "<|", "|>", "_", "-", "endoftext"]
+    texts = [*ODD_TEXTS, "don't STOP 's 'S o'clock", "ὈΔΥΣΣΕΎΣ", "x<|endoftext|>y"]
+    texts += ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(2000)]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(encoder, text), text
+
+
+def test_a_full_cache_is_emptied():
+    small = P.Encoder(P.public_tokenizer(), limit=5)
+    for text in ("one two three", "four five six", "one seven"):
+        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == whole(small, text)
+    assert len(small.known) <= 5
+
+
+def least_bins(lengths, size):
+    """Exact number of bins of a few items."""
+    best = len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= lengths[i]}:
+            k = rooms.index(room)
+            place(i + 1, [*rooms[:k], room - lengths[i], *rooms[k + 1:]])
+        place(i + 1, [*rooms, size - lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_lower_bounds_are_below_the_exact_number():
+    rng = random.Random(4)
+    for _ in range(150):
+        size = rng.choice([10, 17, 30])
+        lengths = sorted((rng.randint(1, size) for _ in range(rng.randint(1, 8))), reverse=True)
+        bound = P.lower_bound(np.bincount(lengths, minlength=size + 1), size)
+        assert -(-sum(lengths) // size) <= bound <= least_bins(lengths, size)
+    # two thirds each: the sum alone would allow fewer
+    assert P.lower_bound(np.bincount([20] * 9, minlength=31), 30) == 9
+
+
+def test_best_fit_puts_items_where_least_room_is_left():
+    bins, offsets = P.best_fit(np.array([6, 5, 4, 5]), 10)
+    assert bins[0] == bins[2] and bins[1] == bins[3]
+    assert sorted(offsets.tolist()) == [0, 0, 5, 6]
+
+
+def check(rows, size=P.SEQUENCE):
+    by = {}
+    for r in rows:
+        by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in by.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= size
+    return len(by)
+
+
+def test_pieces_and_sequences(spark, tmp_path, encoder):
+    rng = random.Random(6)
+    texts = ODD_TEXTS + [prose(rng, "en", rng.randint(1, 900)) for _ in range(300)]
+    sf = save(tmp_path, spark, documents=clashing(frame(spark, [(t, "en") for t in texts])))
+    rows = queries.queries()["op6_best_fit_packing"](spark, sf).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["doc_id"], []).append(
+            (r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    lengths = []
+    for i, text in enumerate(texts):
+        ids = [*whole(encoder, text), 0]
+        want = [(k, a, len(ids[a:a + 2048]), zlib.crc32(np.array(ids[a:a + 2048], "<u4").tobytes()))
+                for k, a in enumerate(range(0, len(ids), 2048))]
+        assert sorted(got[i]) == want
+        lengths += [w[2] for w in want]
+    bound = P.lower_bound(np.bincount(lengths, minlength=2049))
+    assert check(rows) <= bound + 1
+
+
+def test_exchange_rounds_come_near_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(P, "PARTITION_PIECES", 40)
+    rng = random.Random(8)
+    lengths = [rng.choice([300, 700, 900, 1100, 1500, 2048, rng.randint(1, 2000)])
+               for _ in range(1500)]
+    pieces = spark.createDataFrame(
+        [(i, 0, 0, n, 7) for i, n in enumerate(lengths)],
+        "doc_id long, piece int, start long, length long, ids_crc32 long")
+    rows = P.pack(pieces).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(1500))
+    bound = P.lower_bound(np.bincount(lengths, minlength=2049))
+    alone = 0  # partitions of their own, without exchange
+    for at in range(0, 1500, 40):
+        alone += int(P.best_fit(np.array(lengths[at:at + 40]))[0].max()) + 1
+    bins = check(rows)
+    assert bound <= bins < alone
+    assert bins <= 1.02 * bound + 1
+
+
+def test_repeated_rows_and_empty_table(spark, tmp_path):
+    docs = frame(spark, [("same words here", "en")])
+    rows = P.pack_documents(docs.unionByName(docs).unionByName(docs)).collect()
+    assert len(rows) == 3 and check(rows) == 1
+    assert P.pack_documents(empty(spark)).count() == 0
+
+
+def test_given_documents(spark, sf_dir):
+    rows = P.pack_documents(read(spark, sf_dir, "documents")).collect()
+    bound = P.lower_bound(np.bincount([r["length"] for r in rows], minlength=2049))
+    assert check(rows) <= bound + 1
