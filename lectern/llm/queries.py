@@ -91,5 +91,74 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _level(order: int) -> str:
+    """SQL of one order's smoothed probabilities, from those of the order below."""
+    shorter = f"JOIN p{order - 1} s ON s.gram = g.gram % {1 << urls.BITS * order}" if order else ""
+    below = {v: f"s.{v}_p" if order else f"1.0::DOUBLE / {1 << urls.BITS}" for v in VERDICTS}
+    counts = f"""(SELECT gram % {1 << urls.BITS * (order + 1)} AS gram, {", ".join(
+        f"sum({v})::BIGINT AS {v}" for v in VERDICTS)} FROM counts GROUP BY 1)"""
+    seen = ", ".join(f"""sum({v}) OVER w AS {v}_n,
+        sum(CASE WHEN {v} > 0 THEN 1 ELSE 0 END) OVER w AS {v}_kinds""" for v in VERDICTS)
+    smoothed = ", ".join(f"""CASE WHEN g.{v}_n = 0 THEN {below[v]} ELSE
+        (g.{v} + g.{v}_kinds * {below[v]}) / (g.{v}_n + g.{v}_kinds) END AS {v}_p"""
+                         for v in VERDICTS)
+    return f"""p{order} AS (
+      SELECT g.gram, {smoothed} FROM (
+        SELECT gram, {", ".join(VERDICTS)}, {seen} FROM {counts}
+        WINDOW w AS (PARTITION BY gram // {1 << urls.BITS})) g {shorter})"""
+
+
+VERDICTS = ("allow", "block")
+
+
+def _url_filters_sql() -> str:
+    rules = sorted(urls.RULES, key=lambda r: (-len(r[0] + r[1]), r[0] + r[1]))
+    fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v)
+            for h, p, v in rules]
+    rule = " ".join(f"WHEN {fit} THEN '{name}'" for fit, name, _ in fits)
+    decided = " ".join(f"WHEN rule = '{name}' THEN '{v}'" for _, name, v in fits)
+    upper, weights = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", range(urls.ORDER, -1, -1)
+    gram = " + ".join(f"known[i - {k}] * {1 << urls.BITS * k}" for k in weights)
+    pad = "_" * urls.ORDER
+    return f"""
+    WITH parts AS (
+      SELECT page_id, coalesce(url, '') AS url,
+             CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3)
+             ELSE '' END AS rest FROM pages),
+    named AS (
+      SELECT page_id, url, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+             translate(regexp_extract(rest, '^([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host
+      FROM parts),
+    ruled AS (SELECT *, CASE {rule} END AS rule FROM named),
+    judged AS (SELECT *, CASE {decided} END AS decided FROM ruled),
+    distinct_urls AS (
+      SELECT DISTINCT url, decided,
+             decided IS NOT NULL AND strpos('02468ace', substr(md5(url), 1, 1)) > 0 AS taught
+      FROM judged),
+    symbols AS (
+      SELECT *, list_transform(string_split('{pad}' || regexp_replace(
+               translate(lower(url), '123456789', '000000000'), '[^a-z0/.?-]', '_', 'g') || '_', ''),
+             lambda c: strpos('{urls.ALPHABET}', c) - 1) AS known FROM distinct_urls),
+    places AS (
+      SELECT url, decided, taught, known, unnest(range({urls.ORDER + 1}, len(known) + 1)) AS i
+      FROM symbols),
+    every AS (SELECT url, decided, taught, {gram} AS gram FROM places),
+    counts AS (
+      SELECT gram, {", ".join(f"""sum(CASE WHEN taught AND decided = '{v}' THEN 1 ELSE 0 END)
+        AS "{v}" """ for v in VERDICTS)} FROM every GROUP BY 1),
+    {", ".join(_level(o) for o in range(urls.ORDER + 1))},
+    ratios AS (SELECT gram, round((ln(allow_p) - ln(block_p)) * 1e6)::BIGINT AS ratio
+               FROM p{urls.ORDER}),
+    scores AS (
+      SELECT url, decided, taught, sum(ratio)::DOUBLE / count(*) AS score
+      FROM every JOIN ratios USING (gram) GROUP BY ALL),
+    means AS (SELECT decided, round(avg(score), 3) AS m FROM scores
+              WHERE decided IS NOT NULL AND NOT taught GROUP BY 1),
+    cut AS (SELECT CASE WHEN count(*) = 2 THEN sum(m) / 2 END AS threshold FROM means)
+    SELECT page_id, host, path, rule, coalesce(judged.decided, CASE
+             WHEN score < (SELECT threshold FROM cut) THEN 'block' ELSE 'allow' END) AS verdict
+    FROM judged LEFT JOIN scores USING (url)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_url_filters": _url_filters_sql()}

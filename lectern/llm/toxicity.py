@@ -58,7 +58,7 @@ class Features:
         hashed, owners = [], []
         for n in range(1, max(ORDERS) + 1):
             ahead = np.zeros(len(codes), np.uint64)
-            ahead[:len(codes) - n + 1] = codes[n - 1:]
+            ahead[:max(0, len(codes) - n + 1)] = codes[n - 1:]
             with np.errstate(over="ignore"):
                 value = (value + ahead + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
                 value ^= value >> np.uint64(29)

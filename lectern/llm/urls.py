@@ -106,7 +106,8 @@ def scores(urls: DataFrame) -> DataFrame:
 
     Half of the decided URLs, by a hash, teach the models; ``taught`` marks them.
     """
-    taught = F.col("verdict").isNotNull() & (F.crc32("url") % 2 == 0)
+    even = F.substring(F.md5("url"), 1, 1).isin(*"02468ace")
+    taught = F.col("verdict").isNotNull() & even
     known = urls.select("url", "verdict", taught.alias("taught"), symbols(F.col("url"))
                         .alias("known"))
     each = known.select("url", "verdict", "taught", F.explode(grams(F.col("known")))

@@ -1,0 +1,105 @@
+import html
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import extraction as X, queries
+from lectern.llm.common import read
+from tests.llm.helpers import clashing, prose, save
+
+PAGES = "page_id long, url string, html string"
+
+
+def plain(page):
+    """Text of the given pages' article by cutting at block tags."""
+    found = re.search(r"<article>(.*)</article>", page or "", re.S)
+    blocks = re.split(r"</?(?:h1|p|br|ul|li|div)[^>]*>", found[1]) if found else []
+    texts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
+    return " ".join(t for t in texts if t)
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    (None, ""), ("", ""), ("just text &lt;3 &amp;amp;", "just text <3 &amp;"),
+    ("<article><h1>T</h1><p>a<b>b</b>\n c<br>d<p>e</article>", "T ab c d e"),
+    ("<body><nav>menu</nav><div>x</div><footer>f</footer>", "x"),
+    ("<article>a<!-- <p>no</p> --><script>if (a<b) '</p>'</script><style>p{}</style>b</article>", "ab"),
+    ("<main><p>a</p><aside>no</aside><form><input>no</form><div class='ad box'>no</div></main>", "a"),
+    ("<article>a</article><div id=comments>no</div><article>b</article>", "a b"),
+    ("<article><header><h1>T</h1></header><p>x</p><section class='reader-comments'>no</section></article>", "T x"),
+    ("<ARTICLE><P CLASS=\"lead\">&eacute;&#233;&nbsp;x</P></ARTICLE>", "éé x"),
+    ("<article><ul><li>1<li>2</ul><table><tr><td>3<td>4</table></article>", "1 2 3 4"),
+    ("<article>open <p>end", "open end"), ("a < b and c > d", "a < b and c > d"),
+    ("<title>no</title><p hidden>no</p><p>yes</p>", "yes"),
+    ("<article><div role='navigation' class='nav'>no</div>yes</article>", "yes"),
+])
+def test_main_text(page, text):
+    assert X.main_text(page) == text
+
+
+def test_deep_and_long_pages():
+    assert X.main_text("<b>" * 50_000 + "x" + "<div>" * 30_000 + "y") == "x y"
+    page = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
+    assert X.main_text(page) == " ".join(["word & word"] * 20_000)
+
+
+def site(rng, host, number, template, body=None):
+    text = prose(rng, "en", 30)
+    page = (f"<body><div class='x1'><span>{template}</span></div><div class='x2'>"
+            f"<p>{body or text}</p></div><div class='x3'>{template} end</div></body>")
+    return f"https://{host}/en/{number}", page, body or text
+
+
+def test_recurring_subtrees_are_deleted_by_host(spark, tmp_path):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for i in range(40):
+        url, page, text = site(rng, "A.example.org" if i % 2 else "a.example.org", i, "All rights")
+        rows.append((i, url, page))
+        want[i] = text
+    url, page, _ = site(rng, "b.example.org", 1, "All rights", "body")
+    rows.append((40, url, page))  # alone on its host, so nothing recurs
+    want[40] = "All rights body All rights end"
+    rows += [(41, None, "<p>x</p>"), (42, "no host", None), (43, "http://c.example.org", "")]
+    want |= {41: "x", 42: "", 43: ""}
+    pages = clashing(spark.createDataFrame(rows, PAGES).repartition(4))
+    got = queries.queries()["op10_html_extraction"](
+        spark, save(tmp_path, spark, pages=pages)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+
+
+def test_recurring_prose_of_articles_stays(spark):
+    rows = [(i, "http://a.example.org/x", f"<nav>m</nav><article><p>Same.</p><p>{i}</p></article>")
+            for i in range(30)]
+    got = X.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Same. {i}" for i in range(30)}
+
+
+def test_template_counts_equal_a_plain_count(spark):
+    rng = random.Random(6)
+    rows = [(i, *site(rng, f"h{i % 3}.example.org", i, f"t{i % 5}")[:2]) for i in range(60)]
+    pages = spark.createDataFrame(rows, PAGES)
+    counts = {}
+    for _, url, page in rows:
+        for h in X.page_hashes(page):
+            key = (url.split("/")[2], h)
+            counts[key] = counts.get(key, 0) + 1
+    want = {(i, url.split("/")[2], h) for i, url, page in rows for h in X.page_hashes(page)
+            if counts[url.split("/")[2], h] >= max(X.LEAST_PAGES, X.LEAST_SHARE * 20)}
+    assert {tuple(r) for r in X.recurring(pages).select("page_id", "host", "hash").collect()} == want
+
+
+def test_repeated_rows_and_empty_table(spark):
+    rows = [(1, "http://a.example.org/x", "<p>x</p>")] * 2 + [(None, None, None)] * 2
+    got = X.extract(spark.createDataFrame(rows, PAGES)).collect()
+    assert sorted(r["text"] for r in got)[:2] == ["", ""] and len(got) == 4
+    assert X.extract(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_given_pages(spark, sf_dir):
+    got = {r["page_id"]: r["text"] for r in
+           queries.queries()["op10_html_extraction"](spark, sf_dir).collect()}
+    assert got == {r["page_id"]: plain(r["html"]) for r in read(spark, sf_dir, "pages").collect()}
+    assert X.extract(read(spark, sf_dir, "pages")).where(F.col("text") == "").count() == 0

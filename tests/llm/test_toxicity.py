@@ -1,0 +1,87 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from lectern.llm import queries, toxicity as X
+from lectern.llm.common import read
+from tests.llm.helpers import ODD_TEXTS, TOXIC, clashing, empty, frame, prose, save
+
+
+def brute_slots(text):
+    """Distinct (word, n-gram) pieces of a text as slots, one by one."""
+    features = X.Features()
+    out = set()
+    for word in set(text.lower().split()):
+        out |= set(features([word])[0].tolist())
+    return out
+
+
+def test_features_are_the_union_over_distinct_words():
+    rng = random.Random(3)
+    for text in [prose(rng, "en", 80) for _ in range(30)] + [t for t in ODD_TEXTS if t]:
+        slots = X.Features()([text])[0]
+        assert len(slots) == len(set(slots.tolist()))
+        assert set(slots.tolist()) == brute_slots(text)
+
+
+def test_a_full_store_and_chosen_slots_change_nothing():
+    rng = random.Random(4)
+    texts = [prose(rng, "de", 60) for _ in range(20)]
+    full, small = X.Features(), X.Features(limit=10)
+    used = np.zeros(X.SLOTS, bool)
+    used[::7] = True
+    some = X.Features(used)
+    for text in texts:
+        a = set(full([text])[0].tolist())
+        assert set(small([text])[0].tolist()) == a
+        assert set(some([text])[0].tolist()) == {s for s in a if s % 7 == 0}
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = random.Random(9)
+    out = []
+    for i in range(600):
+        words = prose(rng, "en", rng.randint(20, 200)).split()
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(TOXIC))
+        out.append((" ".join(words), int(i % 4 == 0)))
+    return out
+
+
+def test_query(spark, tmp_path, texts):
+    docs = [(t, "en") for t, _ in texts] + [(t, None) for t in ODD_TEXTS]
+    labels = [(i, 1, y) for i, (_, y) in enumerate(texts)]
+    labels += [(len(texts), 0, None), (None, None, 1), (10**9, 0, 1)]
+    sf = save(tmp_path, spark, documents=clashing(frame(spark, docs)),
+              labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    got = {r["doc_id"]: r for r in queries.queries()["op7_toxicity"](spark, sf).collect()}
+    assert len(got) == len(docs)
+    for i, row in got.items():
+        assert row["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert 0 <= row["score"] <= 1 and row["predicted"] == (row["score"] >= 0.5)
+    held = [i for i in range(len(texts)) if got[i]["held_out"]]
+    assert np.mean([got[i]["predicted"] == texts[i][1] for i in held]) > 0.97
+    odd = {t: got[len(texts) + k]["score"] for k, t in enumerate(ODD_TEXTS)}
+    assert odd[None] == odd[""] == odd[" "] < 0.5
+
+
+def test_one_class_or_none(spark, texts):
+    docs = frame(spark, [(t, "en") for t, _ in texts[:5]])
+    for toxic, want in ((1, 1), (0, 0)):
+        labels = spark.createDataFrame([(i, toxic) for i in range(5)], "doc_id long, toxic int")
+        model = X.fit(docs, labels, labels["doc_id"] >= 0)
+        assert {r["predicted"] for r in X.score(docs, model).collect()} == {want}
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    model = X.fit(empty(spark), none, none["doc_id"] >= 0)
+    assert X.score(empty(spark), model).count() == 0
+    assert {r["predicted"] for r in X.score(docs, model).collect()} == {0}
+
+
+def test_held_out_accuracy_on_given_documents(spark, sf_dir):
+    got = queries.queries()["op7_toxicity"](spark, sf_dir)
+    labels = read(spark, sf_dir, "labels").select("doc_id", "toxic")
+    rows = got.join(labels, "doc_id").collect()
+    assert np.mean([r["toxic"] == r["predicted"] for r in rows]) > 0.85
