@@ -19,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lectern.llm.common import WordCache, bounded_batches, col, mix, with_python
+from lectern.llm.common import bounded_batches, col, mix, with_python
 
 SLOT_BITS = 22
 #: The band: at most this share of all documents, and at least so many documents (a word cut
@@ -36,9 +37,12 @@ FILLED = 0.75
 EMPTY = -1
 
 
-def term_hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(),
-                          "little")
+def term_hashes(texts: list[str]) -> list[np.ndarray]:
+    """Hashes of each text's distinct terms, in no order; all texts are hashed together."""
+    terms = [list(set(t.lower().split())) for t in texts]
+    every = np.array([w for words in terms for w in words], object)
+    return np.split(hash_array(every, categorize=False) if len(every) else
+                    np.empty(0, np.uint64), np.cumsum([len(w) for w in terms])[:-1])
 
 
 def slot_of(hashes: np.ndarray) -> np.ndarray:
@@ -49,12 +53,9 @@ def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
     """(slot, docs): in how many documents a term of the slot occurs, over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordCache(term_hash)
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                terms = set((value or "").lower().split())
-                hashes = np.fromiter((words[w] for w in terms), np.uint64, len(terms))
+            for hashes in term_hashes([t or "" for t in batch.column(0).to_pylist()]):
                 counts[np.unique(slot_of(hashes))] += 1
         slots = np.flatnonzero(counts)
         for at in range(0, len(slots), 100_000):
@@ -82,17 +83,16 @@ class Fingerprinter:
 
     def __init__(self, packed: np.ndarray):
         self.lexicon = np.unpackbits(packed).astype(bool)
-        self.words = WordCache(term_hash)
 
-    def terms(self, text: str) -> np.ndarray:
-        words = set(text.lower().split())
-        hashes = np.unique(np.fromiter((self.words[w] for w in words), np.uint64, len(words)))
+    def terms(self, hashes: np.ndarray) -> np.ndarray:
+        """Sorted terms that count."""
+        hashes = np.unique(hashes)
         kept = hashes[self.lexicon[slot_of(hashes)]]
         return kept if len(kept) >= LEAST_TERMS else hashes
 
     def codes(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Codes by text, level and subset, and a hash of all kept terms of each text."""
-        terms = [self.terms(t) for t in texts]
+        terms = [self.terms(h) for h in term_hashes(texts)]
         whole = np.array([zlib.crc32(t.tobytes()) for t in terms], np.int64)
         out = np.full((len(texts), LEVELS, SUBSETS), EMPTY, np.int32)
         if not texts:
