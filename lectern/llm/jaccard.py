@@ -118,11 +118,11 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
         .mapInArrow(run, "doc_id long, n long, node long, chunk int, counts binary")
 
 
-def frequency_classes(parts: DataFrame) -> np.ndarray:
-    """Class of each counter: 0 up to chance and a few dozen, then the doublings above.
+def shingle_counts(parts: DataFrame) -> np.ndarray:
+    """All counters, summed over the tasks.
 
-    Tasks' counters are summed by chunk, one batch at a time; one number for each counter,
-    four million, reaches the driver.
+    They are summed by chunk, one batch at a time; one number for each counter, four
+    million, reaches the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,18 +142,30 @@ def frequency_classes(parts: DataFrame) -> np.ndarray:
     for row in rows:
         at = row["chunk"] << CHUNK_BITS
         counts[at:at + (1 << CHUNK_BITS)] = np.frombuffer(row["counts"], "<u4")
+    return counts
+
+
+def shingle_ranks(counts: np.ndarray) -> np.ndarray:
+    """Place of each counter's shingles in the order: its count, in ratios when large."""
+    large = 4096 + 64 * np.log2(np.maximum(counts / 4096, 1))
+    return np.where(counts < 4096, counts, large).astype(np.uint16)
+
+
+def salt_bits(counts: np.ndarray) -> np.ndarray:
+    """0 for counters up to chance and a few dozen, then the doublings above that."""
     chance = counts.mean()
     usual = chance + 6 * np.sqrt(chance) + 32
     return np.where(counts <= usual, 0,
                     np.log2(np.maximum(counts / usual, 1)).astype(np.int64) + 1).astype(np.uint8)
 
 
-def block_entries(df: DataFrame, text: str, classes: np.ndarray) -> DataFrame:
+def block_entries(df: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     """(shingle, salt, node): each node's first shingles; a salt over 0 marks frequent ones."""
-    shared = df.sparkSession.sparkContext.broadcast(classes)
+    shared = df.sparkSession.sparkContext.broadcast((shingle_ranks(counts), salt_bits(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, order, seen = Shingler(), shared.value, set()
+        shingler, seen = Shingler(), set()
+        ranks, bits = shared.value
         for batch in batches:
             out: list[tuple] = []
             for value in batch.column(0).to_pylist():
@@ -166,11 +178,11 @@ def block_entries(df: DataFrame, text: str, classes: np.ndarray) -> DataFrame:
                 if len(seen) >= REMEMBERED:
                     seen.clear()
                 seen.add(node)
-                # sorted by hash already, so a stable sort by class gives the order
-                rank = order[counter_of(shingles)]
-                first = np.argsort(rank, kind="stable")[:prefix_size(len(shingles))]
-                rank = rank[first].astype(np.int64)
-                salt = np.where(rank > 0, 1 + (node & ((1 << np.minimum(rank, 20)) - 1)), 0)
+                # sorted by hash already, so a stable sort by rank gives the order
+                counter = counter_of(shingles)
+                first = np.argsort(ranks[counter], kind="stable")[:prefix_size(len(shingles))]
+                bit = bits[counter[first]].astype(np.int64)
+                salt = np.where(bit > 0, 1 + (node & ((1 << np.minimum(bit, 20)) - 1)), 0)
                 out.append((shingles[first].view(np.int64), salt, np.full(len(first), node)))
             if out:
                 yield pa.RecordBatch.from_arrays(
@@ -415,8 +427,8 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     """
     digests = stored(digest(df, doc_id, text), "digests")
     docs = digests.where("chunk is null").select("doc_id", "n", "node")
-    classes = frequency_classes(digests.where("chunk is not null").select("chunk", "counts"))
-    groups = groups_of(block_entries(df, text, classes))
+    counts = shingle_counts(digests.where("chunk is not null").select("chunk", "counts"))
+    groups = groups_of(block_entries(df, text, counts))
     labels = components(node_links(df, text, groups))
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

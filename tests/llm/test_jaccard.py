@@ -85,9 +85,11 @@ def test_small_cells_and_counters_lose_no_link(spark, docs, monkeypatch, bits):
 
 
 def test_frequent_shingles_are_dealt_by_salt(spark, docs, monkeypatch):
-    # a class above 0 for every other counter, whatever was counted
-    monkeypatch.setattr(J, "frequency_classes", lambda parts: np.tile(
+    # salts for every other counter and any order, whatever was counted
+    monkeypatch.setattr(J, "salt_bits", lambda counts: np.tile(
         np.array([0, 1, 3, 0], np.uint8), 1 << 20))
+    monkeypatch.setattr(J, "shingle_ranks", lambda counts: np.tile(
+        np.array([5, 1, 7, 1], np.uint16), 1 << 20))
     monkeypatch.setattr(J, "CELL", 16)
     assert result(frame(spark, [(t, None) for _, t in docs])) == brute(docs)
 
