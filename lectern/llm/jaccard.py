@@ -6,11 +6,12 @@ union.  Documents with equal sets are one node.  The join loses no link between
 1. A first pass hashes every set to its node and counts all shingles in a fixed table of
    2^22 hashed counters.  The counters put all shingles in one order, rare ones first.  Any
    order gives the same links; this one keeps shared passages out of the way.
-2. Linked sets of size n share one of the first n - ceil(0.8 n) + 1 shingles in that order.
-   Nodes that share such a shingle form a block, and the least node of a block names a
-   group: two nodes of one block are always in one group, and a group lists each node once.
-   Blocks of shingles that the counters call frequent are dealt by a salt and meet through
-   their parts' least nodes.
+2. Of each set the first n - ceil(0.8 n) + 1 + n // 20 shingles in that order are entries.
+   Linked sets share at least 1 + n // 25 entries, n being either one's size, so a node
+   with fewer entries that any other node has is done.  The others that share an entry form
+   a block, and the least node of a block names a group: two nodes of one block are always
+   in one group, and a group lists each node once.  Blocks of shingles that the counters
+   call frequent are dealt by a salt and meet through their parts' least nodes.
 3. Groups are cut into cells of bounded size.  Within a cell the incidence matrix is
    multiplied by its transpose, block of columns by block; a pair is discarded once its
    count and what is left of both sets cannot reach the bound that their sizes demand.
@@ -29,9 +30,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.common import WordCache, bounded_batches, col, mix, stored
+from lectern.llm.common import WordCache, bounded_batches, col, mix, stored, worker_state
 
 WORDS, PERCENT = 5, 80
 COUNTER_BITS, CHUNK_BITS = 22, 16
@@ -52,7 +53,7 @@ class Shingler:
     """Sorted distinct shingle hashes of a text, and the hash of such a set."""
 
     def __init__(self):
-        self.words = WordCache(word_hash)
+        self.words = worker_state("word hashes", lambda: WordCache(word_hash, 1_000_000))
 
     def __call__(self, text: str | None) -> np.ndarray:
         # bytes fold A-Z and split at ASCII white space only
@@ -79,8 +80,20 @@ def needed(a, b):
     return -(-PERCENT * (a + b) // (100 + PERCENT))
 
 
-def prefix_size(n: int) -> int:
-    return n - (-(-PERCENT * n // 100)) + 1
+def entry_count(n: int) -> int:
+    """Entries of a set: what the bound demands and a twentieth more.
+
+    Of a linked pair let x be the set whose entries end first in the order.  What both have
+    but not as entries of both lies behind x's entries, so it is at most ceil(0.8 n) - 1 -
+    n // 20 of the ceil(0.8 n) shingles, or more, that they share, n being x's size.  That
+    leaves 1 + n // 20 shared entries, and x has at least 0.8 times the other one's size.
+    """
+    return min(n, n - (-(-PERCENT * n // 100)) + 1 + n // 20)
+
+
+def least_shared(n: Column) -> Column:
+    """Entries that a set of this size shares with any linked one, whichever ends first."""
+    return 1 + F.floor(n / 25)
 
 
 def counter_of(shingles: np.ndarray) -> np.ndarray:
@@ -180,7 +193,7 @@ def block_entries(df: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                 seen.add(node)
                 # sorted by hash already, so a stable sort by rank gives the order
                 counter = counter_of(shingles)
-                first = np.argsort(ranks[counter], kind="stable")[:prefix_size(len(shingles))]
+                first = np.argsort(ranks[counter], kind="stable")[:entry_count(len(shingles))]
                 bit = bits[counter[first]].astype(np.int64)
                 salt = np.where(bit > 0, 1 + (node & ((1 << np.minimum(bit, 20)) - 1)), 0)
                 out.append((shingles[first].view(np.int64), salt, np.full(len(first), node)))
@@ -193,19 +206,26 @@ def block_entries(df: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     return df.select(col(text)).mapInArrow(run, "shingle long, salt long, node long")
 
 
-def groups_of(entries: DataFrame) -> DataFrame:
-    """(head, node): every node that shares a block with another, under each block's least."""
+def groups_of(entries: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(head, node): every node that shares a block with another, under each block's least.
+
+    ``sizes`` has (node, n) of all nodes.
+    """
     block = Window.partitionBy("shingle", "salt")
-    near = entries.withColumns({"least": F.min("node").over(block)})
-    near = stored(near.where((F.col("salt") > 0) | (F.col("node") != F.col("least"))), "blocks")
-    plain = near.where("salt = 0").select(F.col("least").alias("head"), "node")
-    parts = near.where("salt > 0").groupBy("shingle", "salt").agg(F.min("node").alias("least"))
-    heads = parts.groupBy("shingle").agg(F.min("least").alias("head"))
-    salted = near.where("salt > 0").select("shingle", "salt", "node") \
-        .join(parts.join(heads, "shingle").select("shingle", "salt", "head"),
-              ["shingle", "salt"]) \
-        .where(F.col("node") != F.col("head")).select("head", "node")
-    members = stored(plain.unionByName(salted).distinct(), "groups")
+    near = entries.withColumns({"low": F.min("node").over(block), "high": F.max("node").over(block)})
+    near = stored(near.where((F.col("salt") > 0) | (F.col("low") != F.col("high")))
+                  .select("shingle", "salt", "node"), "blocks")
+    # several tasks may have sent a node, which counts in its favour
+    shared = near.groupBy("node").agg(F.count("*").alias("shared")).join(sizes, "node") \
+        .where(F.col("shared") >= least_shared(F.col("n"))).select("node")
+    near = stored(near.join(shared, "node", "left_semi"), "entries")
+    parts = near.groupBy("shingle", "salt").agg(F.min("node").alias("low"),
+                                                F.max("node").alias("high"))
+    heads = parts.groupBy("shingle").agg(F.min("low").alias("head"), F.max("high").alias("high")) \
+        .where("head != high").select("shingle", "head")
+    members = near.join(parts.join(heads, "shingle").select("shingle", "salt", "head"),
+                        ["shingle", "salt"]).where("node != head").select("head", "node")
+    members = stored(members.distinct(), "groups")
     return members.unionByName(members.select("head", F.col("head").alias("node")).distinct())
 
 
@@ -213,7 +233,7 @@ def involved_sets(df: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     """(node, shingles) of the nodes in a bitmap of those that share a block.
 
     The bitmap has 2^24 bits whatever the input; a node it lets through in vain meets
-    nothing later.
+    nothing later.  Copies in different tasks give a node several equal rows.
     """
     mask = (1 << NODE_BITS) - 1
     slots = nodes.select(F.col("node").bitwiseAND(mask).cast("int").alias("slot")).distinct()
@@ -244,8 +264,7 @@ def involved_sets(df: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
                     ["node", "shingles"])
 
     bounded_batches(df.sparkSession)
-    found = df.select(col(text)).mapInArrow(run, "node long, shingles binary")
-    return found.dropDuplicates(["node"])
+    return df.select(col(text)).mapInArrow(run, "node long, shingles binary")
 
 
 def linked_pairs(rows: list[np.ndarray], columns: list[np.ndarray] | None = None
@@ -323,7 +342,9 @@ def by_cell(df: DataFrame, keys: list[str], work: Callable) -> DataFrame:
                     if len(held) > 1:
                         out += work(held)
                     held, at = [], row[:len(keys)]
-                held.append(row[len(keys):])
+                row = row[len(keys):]
+                if not held or held[-1][:-1] != row[:-1]:  # else a copy's equal set
+                    held.append(row)
             yield from flush(10_000)
         if len(held) > 1:
             out += work(held)
@@ -428,7 +449,8 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     digests = stored(digest(df, doc_id, text), "digests")
     docs = digests.where("chunk is null").select("doc_id", "n", "node")
     counts = shingle_counts(digests.where("chunk is not null").select("chunk", "counts"))
-    groups = groups_of(block_entries(df, text, counts))
+    sizes = docs.where("node is not null").groupBy("node").agg(F.first("n").alias("n"))
+    groups = groups_of(block_entries(df, text, counts), sizes)
     labels = components(node_links(df, text, groups))
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
