@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lectern.sources.snapshots import SnapshotTable
+
 
 def write_mirror(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Store a mart as the next version; readers of the one before are not disturbed, and
+    it stays in force if this write fails."""
+    SnapshotTable(df.sparkSession, path).replace(df)
 
 
 def serving_order(df: DataFrame, order_key: str, grain: Sequence[str]) -> DataFrame:
@@ -23,19 +27,26 @@ def serving_order(df: DataFrame, order_key: str, grain: Sequence[str]) -> DataFr
 
 
 def write_serving(df: DataFrame, path: str, order_key: str, grain: Sequence[str]) -> None:
-    serving_order(df, order_key, grain).write.mode("overwrite").parquet(path)
+    SnapshotTable(df.sparkSession, path).replace(serving_order(df, order_key, grain))
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return SnapshotTable(spark, path).read()
 
 
 def publish(spark: SparkSession, database: str, name: str, path: str, home: str) -> str:
-    """Declare a stored mart in the catalog, replacing an older declaration, with its
-    statistics.  ``home`` is the folder of the database."""
-    table = f"{database}.{name}"
+    """Point a catalog table at a mart's newest version and compute its statistics.
+
+    A table of the same columns is moved in place, so it never goes missing; else it is
+    declared anew.  ``home`` is the folder of the database.
+    """
+    table, mart = f"{database}.{name}", SnapshotTable(spark, path)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{home}'")
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
+    if spark.catalog.tableExists(table) and spark.table(table).dtypes == mart.read().dtypes:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{mart.folder()}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path=mart.folder(), source="parquet")
+    spark.sql(f"REFRESH TABLE {table}")
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
     return table

@@ -23,18 +23,32 @@ def keys_present(key: Sequence[str]) -> Column:
     return reduce(and_, [F.col(column).isNotNull() for column in key])
 
 
+APART = "_apart"
+
+
+def set_apart(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """df with a column that is -1 for a complete key and else different in every row.
+
+    Grouping or joining by key and this column leaves rows with a NULL in the key alone,
+    spread over all tasks, in the same pass as the others.
+    """
+    return df.withColumn(
+        APART, F.when(keys_present(key), F.lit(-1)).otherwise(F.monotonically_increasing_id()))
+
+
 def _fold(df: DataFrame, key: Sequence[str], order: Sequence[str], pick) -> DataFrame:
-    rest = [c for c in df.columns if c not in key and c not in order]
-    folded = df.groupBy(*key).agg(pick(F.struct(*order, *rest)).alias("_row"))
+    names = [c for c in df.columns if c != APART]
+    rest = [c for c in names if c not in key and c not in order]
+    folded = df.groupBy(*key, *([APART] if APART in df.columns else [])) \
+        .agg(pick(F.struct(*order, *rest)).alias("_row"))
     return folded.select(
-        *[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns]
+        *[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in names]
     )
 
 
 def _one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str], pick) -> DataFrame:
     """One row per complete key; rows with a NULL in the key never match and all stay."""
-    chosen = _fold(df.where(keys_present(key)), key, order, pick)
-    return chosen.unionByName(df.where(~keys_present(key)))
+    return _fold(set_apart(df, key), key, order, pick)
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -61,17 +75,12 @@ def require_unique(df: DataFrame, key: Sequence[str]) -> None:
 def merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
     """Target after an upsert: matched rows replaced, other source rows added.
 
-    Rows with a NULL in the key match nothing; they are kept apart from the join so they
-    do not gather in one task.
+    Rows with a NULL in the key match nothing.
     """
-    source = source.select(*target.columns)
-    source_keys = source.where(keys_present(key)).select(*key)
-    untouched = target.where(keys_present(key)).join(source_keys, list(key), "left_anti")
-    return (
-        untouched.select(*target.columns)
-        .unionByName(target.where(~keys_present(key)))
-        .unionByName(source)
-    )
+    names = target.columns
+    source_keys = source.where(keys_present(key)).select(*key, F.lit(-1).cast("long").alias(APART))
+    untouched = set_apart(target, key).join(source_keys, [*key, APART], "left_anti")
+    return untouched.select(*names).unionByName(source.select(*names))
 
 
 def merge_into(source: DataFrame, table: str, key: Sequence[str]) -> None:
@@ -85,36 +94,32 @@ def merge_into(source: DataFrame, table: str, key: Sequence[str]) -> None:
     )
 
 
-def merge_metrics(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows a merge would insert, update and leave, and the row count after it."""
-    sides = (
-        target.select(*key, F.lit(1).alias("old"), F.lit(0).alias("new"))
-        .unionByName(source.select(*key, F.lit(0).alias("old"), F.lit(1).alias("new")))
-    )
-    complete = (
-        sides.where(keys_present(key)).groupBy(*key)
-        .agg(F.sum("old").alias("old"), F.sum("new").alias("new"))
-    )
+def merge_metrics(
+    target: DataFrame, source: DataFrame, key: Sequence[str], repeated: bool = False
+) -> DataFrame:
+    """Rows a merge would insert, update and leave, and the row count after it.
+
+    ``repeated`` adds how many complete keys the source holds more than once.  Each side is
+    read once; a NULL in the key matches nothing.
+    """
+    sides = target.select(*key, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(
+        source.select(*key, F.lit(0).alias("old"), F.lit(1).alias("new")))
+    per_key = set_apart(sides, key).groupBy(*key, APART).agg(
+        F.sum("old").alias("old"), F.sum("new").alias("new"))
     old, new = F.col("old"), F.col("new")
     matched = (old > 0) & (new > 0)
 
-    def counts(df: DataFrame, both: Column) -> DataFrame:
-        return df.agg(
-            F.sum(F.when(~both, new).otherwise(0)).alias("inserted"),
-            F.sum(F.when(both, old).otherwise(0)).alias("updated"),
-            F.sum(F.when(~both, old).otherwise(0)).alias("unchanged"),
-        )
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
 
-    total = counts(complete, matched).unionByName(
-        counts(sides.where(~keys_present(key)), F.lit(False))
-    )
     inserted, updated, unchanged = (
-        F.coalesce(F.sum(c), F.lit(0)) for c in ("inserted", "updated", "unchanged")
-    )
-    return total.agg(
-        inserted.alias("inserted"), updated.alias("updated"), unchanged.alias("unchanged"),
-        (inserted + updated + unchanged).alias("total"),
-    )
+        total(F.when(matched, both).otherwise(alone))
+        for both, alone in ((0, new), (old, 0), (0, old)))
+    counts = [inserted.alias("inserted"), updated.alias("updated"), unchanged.alias("unchanged"),
+              (inserted + updated + unchanged).alias("total")]
+    if repeated:
+        counts.append(total((new > 1).cast("long")).alias("repeated"))
+    return per_key.agg(*counts)
 
 
 def rows_to_insert(

@@ -8,11 +8,11 @@ from pyspark.errors import SparkRuntimeException, UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from lectern.operators import upsert
-from lectern.sources.snapshots import KEY_BLOCK_BITS, SnapshotTable
+from lectern.sources.snapshots import SnapshotTable, VersionConflict
 from lectern.specs import TABLES, TableSpec
 from tests.tables import frame, only, rows
 
-KEY_BLOCK = 1 << KEY_BLOCK_BITS
+KEY_BLOCK = 1 << 20  # keys far apart
 KV = "k long, v string"
 SPEC = TableSpec("kv", "source", (("k", "BIGINT"), ("v", "STRING")), ("k",))
 
@@ -75,7 +75,7 @@ def test_repeated_source_key_is_an_error(spark, lake_dir):
 
 
 def test_same_batch_twice_changes_nothing(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, buckets=4)
+    table = SnapshotTable(spark, lake_dir, SPEC)
     batch = kv(spark, *[(i * KEY_BLOCK, str(i)) for i in range(20)])
     table.upsert(batch)
     once = pairs(table.read())
@@ -90,25 +90,45 @@ def test_empty_batch_makes_no_version(spark, lake_dir):
     assert table.versions() == [1]
 
 
-def test_untouched_buckets_are_not_rewritten(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, buckets=16)
-    table.upsert(kv(spark, *[(i * KEY_BLOCK, "old") for i in range(40)]))
-    table.upsert(kv(spark, (0, "new")))
-    _, parts = table._manifest()
-    assert sum(v == [2] for v in parts.values()) == 1
-    assert sum(v == [1] for v in parts.values()) == len(parts) - 1
-    assert table.read().where("v = 'old'").count() == 39
+def written(table, version):
+    """Rows in the folders that a version has and the one before lacks."""
+    now, before = table._manifest(version), table._manifest(version - 1)
+    names = [f for kind in ("base", "changes") for f in now[kind]
+             if f not in before["base"] + before["changes"]]
+    return sum(table._folders([n], now).count() for n in names)
 
 
-def test_fresh_keys_are_added_beside_the_old(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, buckets=2)
-    table.upsert(kv(spark, (1, "a")))
-    table.upsert(kv(spark, (2, "b")))
-    assert list(table._manifest()[1].values()) == [[1, 2]]
-    for i in range(3, 14):  # many small parts are gathered again
-        table.upsert(kv(spark, (i, "x")))
-    assert max(len(v) for v in table._manifest()[1].values()) <= 8
-    assert table.read().count() == 13
+def test_a_merge_writes_its_batch_only(spark, lake_dir):
+    """Twenty rows spread over four thousand: neighbours are not written again."""
+    table = SnapshotTable(spark, lake_dir, SPEC)
+    table.upsert(kv(spark, *[(i * KEY_BLOCK, "old") for i in range(4000)]))
+    counts = table.upsert(kv(spark, *[(i * 200 * KEY_BLOCK, "new") for i in range(20)]))
+    assert (counts["inserted"], counts["updated"]) == (0, 20)
+    assert written(table, 2) == 20
+    assert table.read().where("v = 'old'").count() == 3980
+    assert table.read().count() == 4000
+
+
+def test_new_keys_are_added_to_the_base(spark, lake_dir):
+    table = SnapshotTable(spark, lake_dir, SPEC)
+    for i in range(3):
+        table.upsert(kv(spark, (i, "a")))
+    assert (len(table._manifest()["base"]), table._manifest()["changes"]) == (3, [])
+    table.upsert(kv(spark, (1, "b"), (9, "n")))
+    table.upsert(kv(spark, (1, "c"), (9, "m")))
+    assert len(table._manifest()["changes"]) == 2
+    want = [(0, "a"), (1, "c"), (2, "a"), (9, "m")]
+    assert pairs(table.read()) == want
+    table.compact()
+    assert len(table._manifest()["base"]) == 1 and not table._manifest()["changes"]
+    assert pairs(table.read()) == want
+
+
+def test_rows_without_a_key_stay(spark, lake_dir):
+    table = SnapshotTable(spark, lake_dir, SPEC)
+    table.upsert(kv(spark, (None, "a"), (1, "x")))
+    table.upsert(kv(spark, (None, "b"), (None, "b"), (1, "y")))
+    assert pairs(table.read()) == [(1, "y"), (None, "a"), (None, "b"), (None, "b")]
 
 
 def test_older_versions_stay_readable(spark, lake_dir):
@@ -124,24 +144,33 @@ def test_older_versions_stay_readable(spark, lake_dir):
 def test_an_unfinished_version_is_ignored(spark, lake_dir):
     table = SnapshotTable(spark, lake_dir, SPEC)
     table.upsert(kv(spark, (1, "a")))
-    kv(spark, (2, "junk")).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(
-        f"{lake_dir}/data/v=2")
-    assert pairs(table.read()) == [(1, "a")]
+    kv(spark, (2, "junk")).write.parquet(f"{lake_dir}/data/broken")
+    with open(f"{lake_dir}/manifest/v=2.json", "w") as half:
+        half.write('{"base": [')
+    assert pairs(table.read()) == [(1, "a")] and table.versions() == [1]
     table.upsert(kv(spark, (3, "c")))
-    assert pairs(table.read()) == [(1, "a"), (3, "c")]
+    assert pairs(table.read()) == [(1, "a"), (3, "c")] and table.versions() == [1, 3]
 
 
-def test_a_second_writer_of_a_version_fails(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC)
-    table.upsert(kv(spark, (1, "a")))
-    with pytest.raises(RuntimeError):
-        table._commit(1, {})
+def test_the_loser_of_two_writers_harms_nothing(spark, lake_dir):
+    """Both begin from version 1; the second to commit raises, the first one's rows stay."""
+    one, two = (SnapshotTable(spark, lake_dir, SPEC) for _ in range(2))
+    one.upsert(kv(spark, (1, "a")))
+    seen, manifest = two._last(), two._manifest()
+    mine = two._write(kv(spark, (3, "loser")))
+    one.upsert(kv(spark, (1, "b"), (2, "winner")))
+    with pytest.raises(VersionConflict, match="written by another run"):
+        two._commit(seen, manifest | {"base": [*manifest["base"], mine]})
+    for table in (one, two):
+        assert pairs(table.read()) == [(1, "b"), (2, "winner")]
+    two.upsert(kv(spark, (3, "again")))
+    assert pairs(one.read()) == [(1, "b"), (2, "winner"), (3, "again")]
 
 
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_batches_against_a_dict(spark, tmp_path, seed):
     r = random.Random(seed)
-    table = SnapshotTable(spark, str(tmp_path / "t"), SPEC, buckets=3)
+    table = SnapshotTable(spark, str(tmp_path / "t"), SPEC)
     held: dict = {}
     for step in range(4):
         keys = r.sample(range(30), r.randint(1, 15))
@@ -195,6 +224,7 @@ def test_hot_key_is_folded_before_the_shuffle(spark):
     got = upsert.latest_per_key(df, ["k"], ["n"])
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max") > plan.index("Exchange hashpartitioning(k")
+    assert plan.count("Range (") == 1
     assert got.where("k = 0").collect()[0]["n"] == 29_997
     assert got.count() == 20_001
     assert rows(upsert.duplicate_keys(df, ["k"])) == [{"k": 0, "n_rows": 10_000}]
