@@ -1,6 +1,7 @@
 """Plans of the lazy queries: no all-pairs join, no Python, another way beyond broadcasts."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.plans import registry
 from lectern.plans.academic import AcademicWarehouse
@@ -64,3 +65,31 @@ def test_invariants(spark, sf_dir):
         "total_elective_credit_passed > total_elective_credit_registered").isEmpty()
     assert marts.course_performance(tables).where(
         "num_students_passed > num_students_enrolled").isEmpty()
+
+
+def test_reference_check_folds_children_before_one_join_each(spark, no_broadcast):
+    from lectern.operators import checks
+    from lectern.specs import TABLES
+
+    tables = {name: spark.createDataFrame([], spec.schema) for name, spec in TABLES.items()}
+    plan = checks.all_foreign_keys(tables, TABLES)._jdf.queryExecution().analyzed().toString()
+    references = sum(len(spec.foreign_keys) for spec in TABLES.values())
+    assert plan.count("Join LeftOuter") == references and "LeftAnti" not in plan
+    child = spark.range(100).select((F.col("id") % 3).alias("c"))
+    df = checks.foreign_key_violations(child, "c", spark.range(2).toDF("p"), "p")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("Aggregate") and plan.count("Join") == 1
+    assert [tuple(r) for r in df.collect()] == [(2, 33)]
+
+
+def test_merges_read_each_side_once(spark, tmp_path):
+    from lectern.operators import upsert
+
+    schema = "k long, v string"
+    for name in ("old", "new"):
+        spark.createDataFrame([(1, name)], schema).write.parquet(f"{tmp_path}/{name}")
+    old, new = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("old", "new"))
+    assert plan_of(upsert.latest_per_key(new, ["k"], ["v"])).count("FileScan") == 1
+    assert plan_of(upsert.merge_metrics(old, new, ["k"])).count("FileScan") == 2
+    merged = upsert.merge(old, new, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert merged.count("Relation") == 3  # the target once; of the source its keys and rows
