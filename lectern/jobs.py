@@ -1,7 +1,6 @@
 """Command line of the periodic jobs.
 
     python -m lectern.jobs <base> land-bulk <folder>
-    python -m lectern.jobs <base> register-cohorts <folder> [<folder> ...]
     python -m lectern.jobs <base> land-batch <root>
     python -m lectern.jobs <base> watch <folder>
     python -m lectern.jobs <base> bulk
@@ -28,16 +27,17 @@ from lectern.sources.jdbc import JdbcSource
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lectern.jobs")
     top.add_argument("base", help="folder of the lake, shared by all executors")
-    top.add_argument("--buckets", type=int)
     top.add_argument("--parallel", type=int, default=8, help="tables handled side by side")
     top.add_argument("--no-checks", action="store_true",
                      help="land files that break references or text limits")
+    top.add_argument("--multi-line", action="store_true",
+                     help="allow line breaks inside quoted texts; one task per file")
+    top.add_argument("--database", help="catalog database in which marts are declared")
     top.add_argument("--jdbc-url")
     top.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     top.add_argument("--jdbc-partitions", type=int, default=64)
     jobs = top.add_subparsers(dest="job", required=True)
     jobs.add_parser("land-bulk").add_argument("folder")
-    jobs.add_parser("register-cohorts").add_argument("folders", nargs="+")
     jobs.add_parser("land-batch").add_argument("root")
     jobs.add_parser("watch").add_argument("folder")
     jobs.add_parser("bulk")
@@ -60,28 +60,27 @@ def source_of(lake: pipelines.Lake, args: argparse.Namespace) -> Mapping[str, Da
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or build_session(f"lectern {args.job}")
-    lake = pipelines.Lake(spark, args.base, args.buckets, args.parallel)
+    lake = pipelines.Lake(spark, args.base, args.parallel, args.database)
     now = datetime.now(timezone.utc)
     if args.job == "land-bulk":
-        pipelines.land_bulk(lake, args.folder, now, enforce=not args.no_checks)
-    elif args.job == "register-cohorts":
-        pipelines.register_cohorts(lake, args.folders)
+        pipelines.land_bulk(lake, args.folder, now, enforce=not args.no_checks,
+                            multi_line=args.multi_line)
     elif args.job == "land-batch":
-        pipelines.land_batch(lake, args.root, now, enforce=not args.no_checks)
+        pipelines.land_batch(lake, args.root, now, enforce=not args.no_checks,
+                            multi_line=args.multi_line)
     elif args.job == "watch":
         from lectern.streaming.land import start_landing
 
         start_landing(
             lake, args.folder, f"{lake.base}/checkpoint/watch", enforce=not args.no_checks,
-            processingTime="1 minute",
+            multi_line=args.multi_line, processingTime="1 minute",
         ).awaitTermination()
     elif args.job == "bulk":
         pipelines.run_bulk(lake, source_of(lake, args), now)
     elif args.job == "marts":
         pipelines.rebuild_marts(lake, suite=args.suite)
     else:
-        for load in args.loads or pipelines.load_order():
-            pipelines.run_incremental(lake, load, source_of(lake, args), now)
+        pipelines.run_cycle(lake, source_of(lake, args), now, loads=args.loads)
 
 
 if __name__ == "__main__":

@@ -4,26 +4,52 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.plans.pipelines import Lake, land_files
-from lectern.sources.landing import route_files
-from lectern.specs import LAND_ORDER
+from lectern.plans.pipelines import ConstraintError, Lake, OrphanError, land_files
+from lectern.sources.landing import EmptyInputError, MalformedFileError, route_files
+from lectern.sources.snapshots import SnapshotTable
+from lectern.specs import LAND_ORDER, TableSpec
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
+WAITING = TableSpec(
+    "waiting", "source",
+    (("path", "STRING"), ("table_name", "STRING"), ("reason", "STRING")), ("path",),
+)
+
+
+# Error conditions of Spark that tell of a file's content.
+FILE_ERRORS = ("MALFORMED_", "CAST_INVALID_INPUT", "USER_RAISED_EXCEPTION")
+
+
+def caused_by_file(error: Exception) -> bool:
+    """Whether an error says that a file is bad, not that the run met trouble."""
+    told = (ConstraintError, EmptyInputError, MalformedFileError, AnalysisException)
+    return isinstance(error, told) or (
+        isinstance(error, (PySparkException, Py4JJavaError))
+        and any(name in str(error) for name in FILE_ERRORS))
+
+
 def start_landing(
     lake: Lake, folder: str, checkpoint: str, max_files: int = 64,
-    now: datetime | None = None, by_folder: bool = False, enforce: bool = True, **trigger,
+    now: datetime | None = None, by_folder: bool = False, enforce: bool = True,
+    multi_line: bool = False, **trigger,
 ) -> StreamingQuery:
     """Watch a folder and land its CSV files, routed by name, parents before children.
 
-    The stream carries file names only (the content column is pruned); the files of a
-    micro-batch, at most ``max_files``, are then read by table.  Files that cannot be
-    routed are listed under ``rejected``.  ``by_folder`` counts the name of the parent
-    folder as part of the file name.
+    The stream carries file names only (the content column is pruned).  Every file stands
+    or falls by itself: one that cannot be routed, read or accepted is listed under
+    ``rejected`` with the reason, and one that refers to rows its parents lack waits, in
+    the lake's ``waiting`` table, and is tried again with every later batch.  So the number
+    of files in a batch decides nothing.  Files of no bytes are passed over by the source.  A batch that is repeated after a failure lands
+    the same rows: archive and list are written per file and batch, the insert ignores
+    known keys.  ``by_folder`` counts the name of the parent folder as part of the file
+    name.
     """
     name = F.element_at(F.split("path", "/"), -1)
     if by_folder:
@@ -32,23 +58,47 @@ def start_landing(
         lake.spark.readStream.format("binaryFile").schema(_FILES)
         .option("maxFilesPerTrigger", max_files).option("recursiveFileLookup", True)
         .load(folder)
-        .select("path", name.alias("file_name"))
+        .select("path", "modificationTime", name.alias("file_name"))
     )
+    waiting = SnapshotTable(lake.spark, f"{lake.base}/waiting", WAITING)
+
+    def land(table: str, paths: list[str], at: datetime) -> dict[str, Exception]:
+        """Land files together, or each alone if that fails; the errors by path."""
+        try:
+            land_files(lake, table, paths, at, multi_line, enforce)
+            return {}
+        except Exception as error:
+            if not caused_by_file(error):
+                raise
+            if len(paths) == 1:
+                return {paths[0]: error}
+        return {p: e for path in paths for p, e in land(table, [path], at).items()}
 
-    def step(batch: DataFrame, _batch_id: int) -> None:
+    def step(batch: DataFrame, batch_id: int) -> None:
         routed = route_files(batch)
-        files = routed.select("path", "table_name", "verdict").collect()
-        at = now or datetime.now(timezone.utc)
-        accepted = {}
-        for row in files:
-            if row["verdict"] == "accepted":
-                accepted.setdefault(row["table_name"], []).append(row["path"])
+        files = routed.select("path", "table_name", "verdict", "modificationTime").collect()
+        if not files:
+            return
+        # the archive's epoch must be the same if the batch is repeated
+        at = now or max(f["modificationTime"] for f in files).replace(tzinfo=timezone.utc)
+        held = [(r["path"], r["table_name"]) for r in waiting.read().collect()]
+        due: dict[str, list[str]] = {}
+        for path, table in dict.fromkeys(held + [
+                (f["path"], f["table_name"]) for f in files if f["verdict"] == "accepted"]):
+            due.setdefault(table, []).append(path)
+        orphans, refused = [], [(f["path"], f["verdict"]) for f in files
+                                if f["verdict"] != "accepted"]
         for table in LAND_ORDER:
-            if table in accepted:
-                land_files(lake, table, accepted[table], at, enforce=enforce)
-        rejected = routed.where(F.col("verdict") != "accepted").select("path", "verdict")
-        if not rejected.isEmpty():
-            rejected.write.mode("append").parquet(f"{lake.base}/rejected")
+            for path, error in land(table, due.get(table, []), at).items() if table in due else ():
+                if isinstance(error, OrphanError):
+                    orphans.append((path, table, str(error)))
+                else:
+                    refused.append((path, str(error).split("\n")[0]))
+        if orphans or held:
+            waiting.replace(lake.spark.createDataFrame(orphans, WAITING.schema))
+        if refused:
+            lake.spark.createDataFrame(refused, "path string, verdict string").coalesce(1) \
+                .write.mode("overwrite").parquet(f"{lake.base}/rejected/batch={batch_id}")
 
     return (
         names.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from lectern.plans import registry
+from lectern.plans import marts, registry
 from lectern.plans.academic import BANDS, LOADED_AT
 from lectern.specs import LAND_ORDER, TABLES, WAREHOUSE_TABLES
 
@@ -244,7 +244,7 @@ MART = {
 }
 
 
-def _declared(table: str, source: str | None = None) -> str:
+def _declared(table: str, source: str | None = None, more: list[str] = []) -> str:
     """Declared columns of a table; those its source lacks as typed NULL."""
     names = {"BIGINT": "BIGINT", "STRING": "VARCHAR", "BOOLEAN": "BOOLEAN",
              "DOUBLE": "DOUBLE", "TIMESTAMP": "TIMESTAMP"}
@@ -253,7 +253,7 @@ def _declared(table: str, source: str | None = None) -> str:
         name if re.search(rf"\b{name}\b", text) else f"CAST(NULL AS {names[kind]}) AS {name}"
         for name, kind in TABLES[table].columns
     ]
-    return f"SELECT {', '.join(columns)} FROM {source or table}"
+    return f"SELECT {', '.join(columns + more)} FROM {source or table}"
 
 
 _SCORES = _declared("score_fact")
@@ -263,11 +263,29 @@ _REVISED = f"""
     FROM scores WHERE last_modified_date >= TIMESTAMP '{registry.OVERLAP}'"""
 _FIRST = f"""
     SELECT * FROM scores WHERE last_modified_date <= TIMESTAMP '{registry.SPLIT}'"""
-_LANDED_SCORES = _SCORES.replace(" FROM", ", updated_at FROM")
 _NOW = registry.NOW.strftime("%Y-%m-%d %H:%M:%S.%f")
 _EPOCH = int(registry.NOW.timestamp())
 
 
+# Every mart of a run under its name; columns that a mart lacks are NULL.
+_ALL_MARTS = " UNION ALL BY NAME ".join(
+    f"SELECT '{name}' AS mart, * FROM ({MART[name]})" for name in marts.MARTS)
+
+
+def _landed(tables: list[str]) -> str:
+    """Source tables as landed from clean files, each under its name."""
+    clean = {
+        "student": """(SELECT * REPLACE (
+            CASE WHEN address_id <= 24 THEN address_id END AS address_id,
+            CASE WHEN length(gender) <= 3 THEN gender END AS gender) FROM student)""",
+        "instruction_fact": """(SELECT * REPLACE (
+            CASE WHEN class_id <= 24 THEN class_id END AS class_id) FROM instruction_fact)""",
+    }
+    return " UNION ALL BY NAME ".join(
+        f"SELECT '{t}' AS table_name, * FROM ({_declared(t, clean.get(t), ['updated_at'])})"
+        for t in tables)
+
+
 def _between(window: tuple[str, str]) -> str:
     return f"updated_at BETWEEN TIMESTAMP '{window[0]}' AND TIMESTAMP '{window[1]}'"
 
@@ -424,18 +442,20 @@ OPERATOR = {
         FROM customer""",
     "mart_mirror": with_tables(MART["score_distribution"]),
     "serve_sorted": with_tables(MART["student_performance"]),
-    "warehouse_bulk_run": with_tables(MART["student_program_completion"]),
-    "warehouse_incremental_run": with_tables(MART["student_performance"]),
-    "land_bulk": with_tables(_union([
-        f"SELECT '{t}' AS table_name, count(*) AS n_rows, count(updated_at) AS n_stamped "
-        f"FROM {t}" for t in LAND_ORDER])),
-    "land_batch": with_tables(_LANDED_SCORES),
+    "warehouse_bulk_run": with_tables(_ALL_MARTS),
+    "warehouse_incremental_run": with_tables(_ALL_MARTS),
+    "warehouse_first_cycle": with_tables(_ALL_MARTS),
+    "land_bulk": with_tables(_landed(LAND_ORDER)),
+    "land_batch": with_tables(_landed(LAND_ORDER)),
+    "land_quoted_lines": """
+        SELECT CAST(c_custkey AS VARCHAR) AS student_id,
+               c_name || chr(10) || '"x", ,' || c_mktsegment AS student_name FROM customer""",
     "stream_upsert": """
         SELECT user_id, ts, event_id, event_type, value
         FROM (SELECT * FROM events QUALIFY row_number() OVER (
                   PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
         WHERE event_type <> 'error'""",
-    "stream_land": with_tables(_LANDED_SCORES),
+    "stream_land": with_tables(_landed(["student", "instruction_fact", "score_fact"])),
 }
 
 

@@ -1,8 +1,10 @@
 """Landing, loading and streaming runs."""
 
 import datetime as dt
+import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lectern import jobs
@@ -14,7 +16,7 @@ from lectern.sources.snapshots import SnapshotTable
 from lectern.specs import COHORT_FILES, TABLES, WAREHOUSE_TABLES
 from lectern.plans.registry import USER_STATE
 from lectern.streaming.changes import apply_changes, live_rows, start_upserts
-from lectern.streaming.land import start_landing
+from lectern.streaming.land import WAITING, start_landing
 from tests.tables import one_course_school, only, rows
 
 NOW = dt.datetime(2024, 3, 1, 12, 0, 0, tzinfo=dt.timezone.utc)
@@ -30,10 +32,10 @@ def scored(spark, value, at):
 
 
 def test_bulk_then_incremental(spark, lake_dir):
-    lake = Lake(spark, lake_dir, buckets=2)
+    lake = Lake(spark, lake_dir)
     rebuilt = pipelines.run_bulk(lake, scored(spark, 3.0, T0), T0)
     assert rebuilt == list(marts.MARTS)
-    served = lambda: only(spark.read.parquet(lake.serving_path("student_performance")))
+    served = lambda: only(serving.read_serving(spark, lake.serving_path("student_performance")))
     assert served()["total_courses_passed"] == 0
 
     assert pipelines.next_window(lake, "score_facts", T1) == (T0, T1)
@@ -51,7 +53,7 @@ def test_bulk_then_incremental(spark, lake_dir):
 
 
 def test_bulk_drops_rows_of_earlier_loads(spark, lake_dir):
-    lake = Lake(spark, lake_dir, buckets=2)
+    lake = Lake(spark, lake_dir)
     pipelines.run_bulk(lake, scored(spark, 3.0, T0), T0)
     empty = {n: df.limit(0) for n, df in scored(spark, 3.0, T0).items()}
     pipelines.run_bulk(lake, empty, T1)
@@ -59,17 +61,62 @@ def test_bulk_drops_rows_of_earlier_loads(spark, lake_dir):
 
 
 def test_failed_run_is_logged_and_opens_no_window(spark, lake_dir):
-    lake = Lake(spark, lake_dir, buckets=2)
+    lake = Lake(spark, lake_dir)
     pipelines.run_bulk(lake, scored(spark, 3.0, T0), T0)
     broken = dict(scored(spark, 3.0, T1))
     broken["score_fact"] = broken["score_fact"].unionByName(broken["score_fact"])
     with pytest.raises(ValueError, match="repeats key"):
         pipelines.run_incremental(lake, "score_facts", broken, T1)
-    log = {(r["pipeline"], r["state"]) for r in spark.read.parquet(lake.runs).collect()}
+    log = {(r["pipeline"], r["state"]) for r in pipelines.run_log(lake).collect()}
     assert log == {("bulk", "success"), ("score_facts", "failed")}
     assert pipelines.next_window(lake, "score_facts", T1)[0] == T0
 
 
+def test_first_cycle_on_a_new_lake(spark, lake_dir):
+    lake = Lake(spark, lake_dir)
+    assert pipelines.next_window(lake, "dimensions", T0) == (None, T0)
+    with pytest.raises(pipelines.PredecessorError, match="waits for instruction_facts"):
+        pipelines.run_incremental(lake, "score_facts", scored(spark, 6.0, T0), T0)
+    pipelines.run_cycle(lake, scored(spark, 6.0, T0), T0)
+    served = only(serving.read_serving(spark, lake.serving_path("student_performance")))
+    assert served["total_courses_passed"] == 1
+    counts = {r["pipeline"]: r["counts"] for r in pipelines.run_log(lake).collect()}
+    assert json.loads(counts["score_facts"])["score_fact"] == {
+        "staged": 1, "inserted": 1, "updated": 0, "unchanged": 0, "total": 1}
+    pipelines.run_cycle(lake, scored(spark, 3.0, T1), T1, loads=["score_facts"])
+    served = only(serving.read_serving(spark, lake.serving_path("student_performance")))
+    assert served["total_courses_passed"] == 0
+
+
+def test_a_failed_predecessor_stops_a_load(spark, lake_dir):
+    lake = Lake(spark, lake_dir)
+    pipelines.run_bulk(lake, scored(spark, 3.0, T0), T0)
+    pipelines.log_run(lake, "instruction_facts", "failed", T1)
+    with pytest.raises(pipelines.PredecessorError):
+        pipelines.run_incremental(lake, "enrollment_facts", scored(spark, 3.0, T1), T1)
+
+
+def test_a_failing_mart_leaves_the_old_one(spark, lake_dir):
+    path = f"{lake_dir}/m"
+    serving.write_mirror(spark.range(3), path)
+    reader = serving.read_serving(spark, path)
+    with pytest.raises(PySparkException):
+        serving.write_mirror(
+            spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id")), path)
+    assert serving.read_serving(spark, path).count() == 3
+    serving.write_mirror(spark.range(5), path)
+    assert (reader.count(), serving.read_serving(spark, path).count()) == (3, 5)
+
+
+def test_runs_declare_marts_in_the_catalog(spark, lake_dir):
+    lake = Lake(spark, lake_dir, database="aggr_runs")
+    for value, at in ((3.0, T0), (6.0, T1)):
+        pipelines.run_bulk(lake, scored(spark, value, at), at)
+    assert only(spark.table("aggr_runs.student_performance"))["total_courses_passed"] == 1
+    assert len(spark.catalog.listTables("aggr_runs")) == len(marts.MARTS)
+    spark.sql("DROP DATABASE aggr_runs CASCADE")
+
+
 def test_load_order_and_waves():
     order = pipelines.load_order()
     for load, (_, before) in pipelines.INCREMENTAL_LOADS.items():
@@ -104,11 +151,12 @@ def test_cohorts_land_one_after_another(spark, tmp_path):
     root = tmp_path / "data"
     write_cohort(root / "K18_current", 18)
     write_cohort(root / "K19", 19)
-    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
-    base = [lake.base, "--buckets", "2"]
+    lake = Lake(spark, str(tmp_path / "lake"))
+    base = [lake.base]
     pipelines.create_source(lake)
+    (root / "raw").mkdir()
     for _ in range(2):
-        jobs.main([lake.base, "register-cohorts", f"{root}/K18_current", f"{root}/K19"], spark)
+        pipelines.register_cohorts(lake, landing.child_folders(spark, str(root)))
     assert lake.ledger().read().count() == 2
     assert pipelines.current_cohort(lake, str(root)) == (18, f"{root}/K18_current")
     jobs.main([*base, "land-batch", str(root)], spark)
@@ -130,22 +178,22 @@ def test_jobs_land_and_load(spark, tmp_path):
                   "True" if kind == "BOOLEAN" else "2024-01-01" for _, kind in spec.columns]
         (folder / f"{table}.csv").write_text(
             ",".join(spec.names) + "\n" + ",".join(values) + "\n")
-    base = [str(tmp_path / "lake"), "--buckets", "2"]
+    base = [str(tmp_path / "lake")]
     jobs.main([*base, "land-bulk", str(folder)], spark)
     jobs.main([*base, "bulk"], spark)
     jobs.main([*base, "incremental", "score_facts"], spark)
     lake = Lake(spark, str(tmp_path / "lake"))
-    assert only(spark.read.parquet(lake.serving_path("student_performance")))["GPA"] == 1.0
+    assert only(serving.read_serving(spark, lake.serving_path("student_performance")))["GPA"] == 1.0
     jobs.main([*base, "marts", "v1"], spark)
-    older = spark.read.parquet(lake.serving_path("score_distribution", "v1"))
+    older = serving.read_serving(spark, lake.serving_path("score_distribution", "v1"))
     assert only(older)["score_range"] == "0-1"
-    log = [(r["pipeline"], r["state"]) for r in spark.read.parquet(lake.runs).collect()]
+    log = [(r["pipeline"], r["state"]) for r in pipelines.run_log(lake).collect()]
     assert sorted(log) == [("bulk", "success"), ("score_facts", "success")]
 
 
 def test_landing_keeps_the_first_of_repeated_rows(spark, tmp_path):
     path = tmp_path / "program.csv"
-    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    lake = Lake(spark, str(tmp_path / "lake"))
     path.write_text("program_id,class_of\nP,first\nP,second\nQ,x\n")
     pipelines.land_files(lake, "program", str(path), NOW)
     path.write_text("program_id,class_of\nP,third\nR,y\n")
@@ -158,7 +206,7 @@ def test_landing_keeps_the_first_of_repeated_rows(spark, tmp_path):
 
 
 def test_landing_refuses_broken_constraints(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    lake = Lake(spark, str(tmp_path / "lake"))
     parent, child = tmp_path / "program.csv", tmp_path / "program_semester.csv"
     parent.write_text("program_id,class_of\nP,x\n")
     pipelines.land_files(lake, "program", str(parent), NOW)
@@ -175,6 +223,15 @@ def test_landing_refuses_broken_constraints(spark, tmp_path):
     assert lake.source("program_semester").read().count() == 3
 
 
+def test_landing_again_leaves_the_archive(spark, tmp_path):
+    lake, path = Lake(spark, str(tmp_path / "lake")), tmp_path / "program.csv"
+    path.write_text("program_id,class_of\nP,x\nQ,y\n")
+    for _ in range(2):
+        pipelines.land_files(lake, "program", str(path), NOW)
+    assert spark.read.parquet(lake.bronze).count() == 3
+    assert lake.source("program").read().count() == 2
+
+
 CHANGES = "user_id long, ts timestamp, event_id long, event_type string, value double, operation string"
 
 
@@ -183,7 +240,7 @@ def change(user, day, n, operation="upsert"):
 
 
 def test_late_and_repeated_changes(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, USER_STATE, buckets=2)
+    table = SnapshotTable(spark, lake_dir, USER_STATE)
     version = ["ts", "event_id"]
     batches = [
         [change(1, 2, 10), change(1, 3, 11), change(2, 2, 12)],
@@ -200,7 +257,7 @@ def test_late_and_repeated_changes(spark, lake_dir):
 
 
 def test_upsert_stream_resumes(spark, tmp_path):
-    folder, table = tmp_path / "in", SnapshotTable(spark, str(tmp_path / "t"), USER_STATE, 2)
+    folder, table = tmp_path / "in", SnapshotTable(spark, str(tmp_path / "t"), USER_STATE)
 
     def run(batch):
         spark.createDataFrame(batch, CHANGES).coalesce(1).write.mode("append").parquet(
@@ -219,7 +276,7 @@ def test_upsert_stream_resumes(spark, tmp_path):
 def test_landing_stream_takes_each_file_once(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    lake = Lake(spark, str(tmp_path / "lake"), buckets=2)
+    lake = Lake(spark, str(tmp_path / "lake"))
 
     def run():
         start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
@@ -239,6 +296,61 @@ def test_landing_stream_takes_each_file_once(spark, tmp_path):
     assert spark.read.parquet(lake.bronze).where("table_name = 'program'").count() == 5
 
 
+def test_children_wait_for_their_parents(spark, tmp_path):
+    """One file a batch, the child first."""
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+
+    def run():
+        start_landing(lake, str(folder), str(tmp_path / "cp"), max_files=1,
+                      now=NOW).awaitTermination()
+
+    (folder / "program_semester_1.csv").write_text("program_semester_id,program_id\nP_1,P\n")
+    run()
+    waiting = SnapshotTable(spark, f"{lake.base}/waiting", WAITING)
+    assert "P is not in program" in only(waiting.read())["reason"]
+    (folder / "program_1.csv").write_text("program_id,class_of\nP,x\n")
+    run()
+    assert only(lake.source("program_semester").read())["program_id"] == "P"
+    assert waiting.read().isEmpty()
+
+
+def test_a_bad_file_falls_alone(spark, tmp_path):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    files = {"program_1.csv": "program_id,class_of\nP,x\n", "program_2.csv": "program_id,class_of\n",
+             "program_3.csv": "class_of,program_id\ny,Q\n",
+             "program_4.csv": "program_id,class_of\nR,z,EXTRA\n",
+             "program_5.csv": "program_id,class_of\nlong id here,x\n",
+             "course_1.csv": "course_id,course_name\nnot a number,x\n",
+             "course_2.csv": "course_id,course_name\n7,seven\n"}
+    for name, text in files.items():
+        (folder / name).write_text(text)
+    start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+    assert {r["program_id"] for r in lake.source("program").read().collect()} == {"P", "Q"}
+    assert only(lake.source("course").read())["course_id"] == 7
+    rejected = {r["path"].rsplit("/", 1)[1]: r["verdict"]
+                for r in spark.read.parquet(f"{lake.base}/rejected").collect()}
+    assert set(rejected) == {"program_2.csv", "program_4.csv", "program_5.csv", "course_1.csv"}
+    assert "no rows" in rejected["program_2.csv"] and "10 allowed" in rejected["program_5.csv"]
+
+
+def test_trouble_that_is_no_files_fault_ends_the_batch(spark, tmp_path, monkeypatch):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    (folder / "program.csv").write_text("program_id,class_of\nP,x\n")
+
+    def lost(*_):
+        raise OSError("storage is gone")
+
+    monkeypatch.setattr("lectern.streaming.land.land_files", lost)
+    with pytest.raises(Exception, match="storage is gone"):
+        start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+    monkeypatch.undo()
+    start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+    assert lake.source("program").read().count() == 1
+
+
 def test_mirror_equals_mart(spark, tmp_path):
     t = one_course_school(spark)
     mart = marts.instruction_aggregate(t)
