@@ -27,10 +27,13 @@ def mean(total: Column, count: Column) -> Column:
 
 
 def grade_point_average(weighted: Column, credits: Column) -> Column:
-    """Credit-weighted mean rounded half up to two digits; 0 where no credit counts."""
-    ratio = weighted.cast("double") / F.nullif(credits, F.lit(0)).cast("double")
-    exact = F.coalesce(ratio, F.lit(0.0)).cast("decimal(18,6)")
-    return F.round(exact, 2).cast("double")
+    """Credit-weighted mean rounded half up to two digits, once, from the exact sums; 0
+    where no credit counts.  Scores and credits are not negative."""
+    millionths = (weighted * 1_000_000).cast("decimal(38,0)")
+    count = credits.cast("decimal(38,0)")
+    hundredths = F.call_function(
+        "div", millionths * 200 + count * 1_000_000, F.nullif(count, F.lit(0)) * 2_000_000)
+    return F.coalesce(hundredths, F.lit(0)).cast("double") / 100.0
 
 
 def score_range(score: str) -> Column:

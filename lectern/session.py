@@ -17,6 +17,7 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.parquet.outputTimestampType": "INT96",
         "spark.ui.enabled": "false",
         **conf,
     }

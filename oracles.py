@@ -149,12 +149,15 @@ MART = {
                count(DISTINCT score_id) AS total_courses_enrolled,
                count(*) FILTER (WHERE final_score >= 4) AS total_courses_passed,
                CAST(sum(total_credit) AS BIGINT) AS total_credits_earned,
-               CAST(round(CAST(coalesce(
-                   CAST(sum(CAST(final_score_4 AS DECIMAL(12, 6))
-                            * CAST(total_credit AS DECIMAL(10, 0)))
-                        FILTER (WHERE final_score_4 >= 1) AS DOUBLE)
-                   / CAST(nullif(sum(total_credit) FILTER (WHERE final_score_4 >= 1), 0)
-                          AS DOUBLE), 0) AS DECIMAL(18, 6)), 2) AS DOUBLE) AS "GPA"
+               -- in millionths: half a hundredth is added, whole hundredths remain
+               coalesce((200 * CAST(sum(CAST(final_score_4 AS DECIMAL(12, 6))
+                                        * CAST(total_credit AS DECIMAL(10, 0)) * 1000000)
+                                    FILTER (WHERE final_score_4 >= 1) AS HUGEINT)
+                         + 1000000 * CAST(sum(total_credit)
+                                          FILTER (WHERE final_score_4 >= 1) AS HUGEINT))
+                        // (2000000 * nullif(CAST(sum(total_credit)
+                               FILTER (WHERE final_score_4 >= 1) AS HUGEINT), 0)), 0)
+                   / 100.0::DOUBLE AS "GPA"
         FROM seat JOIN score_fact USING (student_id, instruction_id) GROUP BY ALL""",
     "course_performance": """
         SELECT course_code, course_name, semester_name,
