@@ -56,7 +56,7 @@ def document_frequencies(df: DataFrame, text: str = "text") -> DataFrame:
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
             for hashes in term_hashes([t or "" for t in batch.column(0).to_pylist()]):
-                counts[np.unique(slot_of(hashes))] += 1
+                counts[slot_of(hashes)] += 1  # terms of one slot count once
         slots = np.flatnonzero(counts)
         for at in range(0, len(slots), 100_000):
             part = slots[at:at + 100_000]
@@ -86,7 +86,7 @@ class Fingerprinter:
 
     def terms(self, hashes: np.ndarray) -> np.ndarray:
         """Sorted terms that count."""
-        hashes = np.unique(hashes)
+        hashes = np.sort(hashes)
         kept = hashes[self.lexicon[slot_of(hashes)]]
         return kept if len(kept) >= LEAST_TERMS else hashes
 

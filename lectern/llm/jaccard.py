@@ -20,7 +20,8 @@ union.  Documents with equal sets are one node.  The join loses no link between
    need no further proof, so large groups of copies cost no square of their size.
 
 Sets are recomputed from the texts rather than stored; only those of nodes that share a
-block are moved.  Equality of shingles and sets is that of 64-bit hashes.
+block are moved.  Equal sets are those of equal 64-bit hashes; overlaps are counted by
+48-bit hashes of shingles.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.common import WordCache, bounded_batches, col, mix, stored, worker_state
+from lectern.llm.common import bounded_batches, col, mix, stored
 
 WORDS, PERCENT = 5, 80
 COUNTER_BITS, CHUNK_BITS = 22, 16
@@ -45,34 +47,45 @@ REMEMBERED = 500_000
 MULTIPLIERS = [np.uint64(x | 1) for x in mix(np.arange(WORDS), 77).tolist()]
 
 
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
 
 
-class Shingler:
-    """Sorted distinct shingle hashes of a text, and the hash of such a set."""
-
-    def __init__(self):
-        self.words = worker_state("word hashes", lambda: WordCache(word_hash, 1_000_000))
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        # bytes fold A-Z and split at ASCII white space only
-        words = (text or "").encode("utf-8", "replace").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        known = self.words
-        hashes = np.fromiter([known[w] for w in words], np.uint64, len(words))
-        width = min(WORDS, len(words))
+def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; all words are hashed together."""
+    # bytes fold A-Z and split at ASCII white space only
+    words = [(t or "").encode("utf-8", "replace").lower().split() for t in texts]
+    every = np.array([w for some in words for w in some], object)
+    every = hash_array(every, categorize=False) if len(every) else np.empty(0, np.uint64)
+    sets, at = [], 0
+    for some in words:
+        hashes, at = every[at:at + len(some)], at + len(some)
+        width = min(WORDS, len(hashes))
+        total = np.full(len(hashes) - width + 1 if width else 0, width, np.uint64)
         with np.errstate(over="ignore"):
-            total = np.full(len(words) - width + 1, width, np.uint64)
             for i in range(width):
-                total += hashes[i:len(words) - width + 1 + i] * MULTIPLIERS[i]
-        return np.unique(mix(total))
+                total += hashes[i:len(hashes) - width + 1 + i] * MULTIPLIERS[i]
+        sets.append(distinct(mix(total)))
+    return sets
+
+
+def node_of(shingles: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(),
+                          "little", signed=True)
+
+
+def packed(shingles: np.ndarray) -> bytes:
+    """The upper 48 bits of each hash, six bytes each."""
+    short = distinct(shingles >> np.uint64(16)).astype("<u8")
+    return short.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
 
-    @staticmethod
-    def node(shingles: np.ndarray) -> int:
-        return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(),
-                              "little", signed=True)
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view("<u8")
 
 
 def needed(a, b):
@@ -104,7 +117,6 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row (doc_id, n, node) for each document, then (chunk, counts) of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
         counts = np.zeros(1 << COUNTER_BITS, np.int64)
         schema = ["doc_id", "n", "node", "chunk", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
@@ -115,11 +127,11 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
 
         for batch in batches:
             ids, texts = (c.to_pylist() for c in batch.columns)
-            sets = [shingler(t) for t in texts]
+            sets = shingle_sets(texts)
             counts += np.bincount(counter_of(np.concatenate(sets)), minlength=len(counts))
             empty = [None] * len(ids)
             yield batch_of(ids, [len(s) for s in sets],
-                           [shingler.node(s) if len(s) else None for s in sets], empty, empty)
+                           [node_of(s) if len(s) else None for s in sets], empty, empty)
         for chunk in range(1 << COUNTER_BITS - CHUNK_BITS):
             part = counts[chunk << CHUNK_BITS:(chunk + 1) << CHUNK_BITS]
             if part.any():
@@ -177,15 +189,14 @@ def block_entries(df: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast((shingle_ranks(counts), salt_bits(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
+        seen: set[int] = set()
         ranks, bits = shared.value
         for batch in batches:
             out: list[tuple] = []
-            for value in batch.column(0).to_pylist():
-                shingles = shingler(value)
+            for shingles in shingle_sets(batch.column(0).to_pylist()):
                 if not len(shingles):
                     continue
-                node = shingler.node(shingles)
+                node = node_of(shingles)
                 if node in seen:
                     continue
                 if len(seen) >= REMEMBERED:
@@ -196,7 +207,9 @@ def block_entries(df: DataFrame, text: str, counts: np.ndarray) -> DataFrame:
                 first = np.argsort(ranks[counter], kind="stable")[:entry_count(len(shingles))]
                 bit = bits[counter[first]].astype(np.int64)
                 salt = np.where(bit > 0, 1 + (node & ((1 << np.minimum(bit, 20)) - 1)), 0)
-                out.append((shingles[first].view(np.int64), salt, np.full(len(first), node)))
+                # 48 bits are enough for blocks: nodes that meet by chance are told apart
+                short = (shingles[first] >> np.uint64(16)).view(np.int64)
+                out.append((short, salt, np.full(len(first), node)))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c)) for c in zip(*out, strict=True)],
@@ -242,22 +255,21 @@ def involved_sets(df: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(), set()
+        seen: set[int] = set()
         wanted = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             out = ([], [])
-            for value in batch.column(0).to_pylist():
-                shingles = shingler(value)
+            for shingles in shingle_sets(batch.column(0).to_pylist()):
                 if not len(shingles):
                     continue
-                node = shingler.node(shingles)
+                node = node_of(shingles)
                 if not wanted[node & mask] or node in seen:
                     continue
                 if len(seen) >= REMEMBERED:
                     seen.clear()
                 seen.add(node)
                 out[0].append(node)
-                out[1].append(shingles.tobytes())
+                out[1].append(packed(shingles))
             if out[0]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
@@ -359,7 +371,7 @@ def by_cell(df: DataFrame, keys: list[str], work: Callable) -> DataFrame:
 def within_cell(rows: list[tuple]) -> list[tuple[int, int]]:
     """Forest of the links among (node, shingles) rows."""
     nodes = [r[0] for r in rows]
-    i, j = linked_pairs([np.frombuffer(r[1], np.uint64) for r in rows])
+    i, j = linked_pairs([unpacked(r[1]) for r in rows])
     return forest(nodes, ((nodes[a], nodes[b]) for a, b in zip(i.tolist(), j.tolist())))
 
 
@@ -371,7 +383,7 @@ def across_cells(rows: list[tuple]) -> list[tuple[int, int]]:
     sides = [[r for r in rows if r[0] == s] for s in (False, True)]
     if not all(sides):
         return []
-    i, j = linked_pairs(*[[np.frombuffer(r[3], np.uint64) for r in side] for side in sides])
+    i, j = linked_pairs(*[[unpacked(r[3]) for r in side] for side in sides])
     found = {}
     for a, b in zip(i.tolist(), j.tolist()):
         member, straggler = sides[0][a], sides[1][b]

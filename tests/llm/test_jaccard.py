@@ -111,11 +111,13 @@ def test_linked_pairs_equal_set_arithmetic():
 
 
 def test_words_and_sets():
-    shingler = J.Shingler()
-    for text in [*ODD_TEXTS, "a b c d e f", "a b c d e a b c d e", "x y", "Ä ä"]:
-        assert len(shingler(text)) == len(shingles(text)), text
-    assert (shingler("A B C D E F") == shingler("a\tb\nc\x0bd  e f")).all()
-    assert len(shingler("a b")) and (shingler("a b") != shingler("a b c")).all()
+    texts = [*ODD_TEXTS, "a b c d e f", "a b c d e a b c d e", "x y", "Ä ä"]
+    for text, found in zip(texts, J.shingle_sets(texts), strict=True):
+        assert len(found) == len(shingles(text)), text
+        assert (found[1:] > found[:-1]).all()
+        assert (J.unpacked(J.packed(found)) == found >> np.uint64(16)).all()
+    a, b, c, d = J.shingle_sets(["A B C D E F", "a\tb\nc\x0bd  e f", "a b", "a b c"])
+    assert (a == b).all() and len(c) == len(d) == 1 and c[0] != d[0]
 
 
 def test_components_of_a_long_chain(spark):
