@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     top.add_argument("--multi-line", action="store_true",
                      help="allow line breaks inside quoted texts; one task per file")
     top.add_argument("--database", help="catalog database in which marts are declared")
+    top.add_argument("--catalog", help="warehouse tables that take row-level writes")
     top.add_argument("--jdbc-url")
     top.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     top.add_argument("--jdbc-partitions", type=int, default=64)
@@ -60,7 +61,7 @@ def source_of(lake: pipelines.Lake, args: argparse.Namespace) -> Mapping[str, Da
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or build_session(f"lectern {args.job}")
-    lake = pipelines.Lake(spark, args.base, args.parallel, args.database)
+    lake = pipelines.Lake(spark, args.base, args.parallel, args.database, args.catalog)
     now = datetime.now(timezone.utc)
     if args.job == "land-bulk":
         pipelines.land_bulk(lake, args.folder, now, enforce=not args.no_checks,

@@ -114,7 +114,9 @@ def test_runs_declare_marts_in_the_catalog(spark, lake_dir):
         pipelines.run_bulk(lake, scored(spark, value, at), at)
     assert only(spark.table("aggr_runs.student_performance"))["total_courses_passed"] == 1
     assert len(spark.catalog.listTables("aggr_runs")) == len(marts.MARTS)
-    spark.sql("DROP DATABASE aggr_runs CASCADE")
+    assert spark.table("aggr_runs_staging.score_fact").count() == 1
+    for name in ("aggr_runs", "aggr_runs_staging"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def test_load_order_and_waves():
