@@ -7,6 +7,7 @@ import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -92,6 +93,32 @@ def flat_python(df: DataFrame, inputs: list[Column], fields: Fields, worker: Cal
     return source.mapInArrow(run, schema)
 
 
+#: Bits of a key filter, whatever the number of keys.
+FILTER_BITS = 24
+
+
+def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
+    """A test that holds for every key of a table of one column, and for few others.
+
+    It is a bitmap of fixed size, so it may be sent to every task; what passes it should be
+    joined with the keys, and what does not needs no join.
+    """
+    def slot(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS)).cast("int")
+
+    used = keys.select(slot(col(keys.columns[0])).alias("slot")).distinct().toArrow()
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    bits[used.column(0).to_numpy()] = True
+    shared = keys.sparkSession.sparkContext.broadcast(np.packbits(bits))
+
+    @F.pandas_udf("boolean")
+    def among(slots: pd.Series) -> pd.Series:
+        at = slots.to_numpy()
+        return pd.Series((shared.value[at >> 3] >> (7 - (at & 7))) & 1 == 1)
+
+    return lambda key: among(slot(key))
+
+
 def worker_state(name: str, make: Callable):
     """What ``make`` returned first in this Python worker; it lives as long as the worker."""
     held = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))

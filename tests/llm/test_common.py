@@ -1,0 +1,21 @@
+from pyspark.sql import functions as F
+
+from lectern.llm import common
+
+
+def test_key_filter_passes_every_key_and_few_others(spark):
+    keys = spark.range(0, 3000, 3).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS id"))
+    test = common.key_filter(keys)
+    passed = {r["id"] for r in spark.range(6000).where(test(F.col("id"))).collect()}
+    assert set(range(0, 3000, 3)) <= passed and len(passed) < 1050
+    assert spark.range(5).where(common.key_filter(spark.range(0))(F.col("id"))).count() == 0
+    nothing = spark.sql("SELECT CAST(NULL AS BIGINT) AS id")
+    assert nothing.where(test(F.col("id"))).count() == 1
+
+
+def test_kept_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "`a``b` int, `x.y` int, out int")
+    got = common.with_python(
+        df, [common.col("x.y")], [("out", df.schema["out"].dataType)],
+        lambda: lambda values: [[v * 10 for v in values]], df.columns)
+    assert [tuple(r) for r in got.collect()] == [(1, 2, 20)]
