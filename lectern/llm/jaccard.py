@@ -27,6 +27,7 @@ block are moved.  Equal sets are those of equal 64-bit hashes; overlaps are coun
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -114,7 +115,10 @@ def counter_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row (doc_id, n, node) for each document, then (chunk, counts) of each task."""
+    """One row (doc_id, n, node) for each document, then (chunk, counts) of each task.
+
+    Counts of a task go up to 255, one byte each, and are compressed, as most are small.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNTER_BITS, np.int64)
@@ -135,7 +139,7 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
         for chunk in range(1 << COUNTER_BITS - CHUNK_BITS):
             part = counts[chunk << CHUNK_BITS:(chunk + 1) << CHUNK_BITS]
             if part.any():
-                data = np.minimum(part, 255).astype(np.uint8).tobytes()
+                data = zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes(), 1)
                 yield batch_of([None], [None], [None], [chunk], [data])
 
     bounded_batches(df.sparkSession)
@@ -155,7 +159,7 @@ def shingle_counts(parts: DataFrame) -> np.ndarray:
         for batch in batches:
             for chunk, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 sums.setdefault(chunk, np.zeros(1 << CHUNK_BITS, np.int64))
-                sums[chunk] += np.frombuffer(data, np.uint8)
+                sums[chunk] += np.frombuffer(zlib.decompress(data), np.uint8)
         for chunk, total in sums.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([chunk], pa.int32()),
