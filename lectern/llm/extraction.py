@@ -18,7 +18,7 @@ import hashlib
 import html as entities
 import re
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lectern.llm.common import col, flat_python, stored, with_python
 
@@ -208,15 +208,16 @@ def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
     return " ".join(t for t in texts if t)
 
 
-def host_of(url):
-    """Lower-cased host; the empty one for null and for what has no ``://``."""
+def host_key(url: Column) -> Column:
+    """64-bit hash of the lower-cased host; of the empty one for null and for what has no
+    ``://``."""
     rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
-    return F.lower(rest)
+    return F.xxhash64(F.lower(rest))
 
 
 def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
               html: str = "html") -> DataFrame:
-    """(page_id, host, hash): subtrees of each page that are template of its host.
+    """(host, hash, page_id): subtrees of each page that are template of its host, by key.
 
     Counted over all pages; a host's hashes are summed on the map side first, so a large
     host adds no more rows to a task than its distinct subtrees.
@@ -234,11 +235,11 @@ def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
         return work
 
-    each = flat_python(pages, [col(page_id).cast("long"), host_of(col(url)), col(html)],
-                       [("page_id", T.LongType()), ("host", T.StringType()),
+    each = flat_python(pages, [col(page_id).cast("long"), host_key(col(url)), col(html)],
+                       [("page_id", T.LongType()), ("host", T.LongType()),
                         ("hash", T.LongType())], worker)
     each = stored(each, "subtrees")
-    sizes = pages.groupBy(host_of(col(url)).alias("host")).agg(F.count("*").alias("pages"))
+    sizes = pages.groupBy(host_key(col(url)).alias("host")).agg(F.count("*").alias("pages"))
     template = each.groupBy("host", "hash").agg(F.count("*").alias("n")) \
         .where(F.col("n") >= LEAST_PAGES).join(sizes, "host") \
         .where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
@@ -255,7 +256,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     template = recurring(pages, page_id, url, html).groupBy("page_id", "host") \
         .agg(F.collect_set("hash").alias("template"))
     named = pages.select(col(page_id).alias("page_id"), col(url).alias("url"),
-                         col(html).alias("html"), host_of(col(url)).alias("page_host"))
+                         col(html).alias("html"), host_key(col(url)).alias("page_host"))
     met = named.join(template, F.col("page_host").eqNullSafe(F.col("host"))
                      & named["page_id"].cast("long").eqNullSafe(template["page_id"]), "left") \
         .select(named["page_id"], "url", "html", "template")
