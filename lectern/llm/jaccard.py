@@ -35,7 +35,7 @@ import pyarrow as pa
 from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.common import bounded_batches, col, mix, stored
+from lectern.llm.common import bounded_batches, col, mix, release, stored
 
 WORDS, PERCENT = 5, 80
 COUNTER_BITS, CHUNK_BITS = 22, 16
@@ -229,9 +229,12 @@ def groups_of(entries: DataFrame, sizes: DataFrame) -> DataFrame:
     ``sizes`` has (node, n) of all nodes.
     """
     block = Window.partitionBy("shingle", "salt")
-    near = entries.withColumns({"low": F.min("node").over(block), "high": F.max("node").over(block)})
-    near = stored(near.where((F.col("salt") > 0) | (F.col("low") != F.col("high")))
+    ends = {"low": F.min("node").over(block), "high": F.max("node").over(block)}
+    near = stored(entries.withColumns(ends)
+                  .where((F.col("salt") > 0) | (F.col("low") != F.col("high")))
                   .select("shingle", "salt", "node"), "blocks")
+    del entries
+    release(near.sparkSession)  # the shuffled entries are the join's largest files
     # several tasks may have sent a node, which counts in its favour
     shared = near.groupBy("node").agg(F.count("*").alias("shared")).join(sizes, "node") \
         .where(F.col("shared") >= least_shared(F.col("n"))).select("node")
