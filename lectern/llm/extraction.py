@@ -20,7 +20,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lectern.llm.common import col, flat_python, stored, with_python
+from lectern.llm.common import col, flat_python, release, stored, with_python
 
 #: A subtree is template from so many pages of its host on, if these are such a share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.02
@@ -253,8 +253,9 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     A null or empty page has an empty text.  Repeated rows stay; a page without a host
     belongs to the host without a name.  Other columns are not used.
     """
-    template = recurring(pages, page_id, url, html).groupBy("page_id", "host") \
-        .agg(F.collect_set("hash").alias("template"))
+    template = stored(recurring(pages, page_id, url, html).groupBy("page_id", "host")
+                      .agg(F.collect_set("hash").alias("template")), "templates")
+    release(pages.sparkSession)  # before the pages themselves are shuffled
     named = pages.select(col(page_id).alias("page_id"), col(url).alias("url"),
                          col(html).alias("html"), host_key(col(url)).alias("page_host"))
     met = named.join(template, F.col("page_host").eqNullSafe(F.col("host"))
