@@ -77,6 +77,7 @@ def with_python(
     all_names, n, width = schema.names, len(keep), len(inputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         work = worker()
         for batch in batches:
             out = work(*(batch.column(n + i).to_pylist() for i in range(width)))
@@ -87,14 +88,20 @@ def with_python(
     return source.mapInArrow(run, schema)
 
 
-def flat_python(df: DataFrame, inputs: list[Column], fields: Fields, worker: Callable) -> DataFrame:
-    """Like ``with_python`` for a worker that returns any number of rows for a batch."""
+def flat_python(
+    df: DataFrame, inputs: list[Column], fields: Fields, worker: Callable, state: bool = False
+) -> DataFrame:
+    """Like ``with_python`` for a worker that returns any number of rows for a batch.
+
+    ``state`` leaves what ``worker_state`` holds."""
     bounded_batches(df.sparkSession)
     source = df.select(*[c.alias(f"in_{i}") for i, c in enumerate(inputs)])
     schema = T.StructType([T.StructField(name, kind) for name, kind in fields])
     kinds, names = [to_arrow_type(kind) for _, kind in fields], schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not state:
+            forget_worker_state()
         work = worker()
         for batch in batches:
             for out in work(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
@@ -131,13 +138,20 @@ def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
 
 
 def worker_state(name: str, make: Callable):
-    """What ``make`` returned first in this Python worker; it lives as long as the worker."""
+    """What ``make`` returned first in this Python worker.
+
+    It lives until the worker serves an operator that does not use it.
+    """
     held = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))
     if not hasattr(held, name):
         setattr(held, name, make())
     return getattr(held, name)
 
 
+def forget_worker_state() -> None:
+    sys.modules.pop("_worker_state", None)
+
+
 def id_hash(column: Column) -> Column:
     """crc32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")))

@@ -35,7 +35,9 @@ import pyarrow as pa
 from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lectern.llm.common import bounded_batches, col, mix, release, stored
+from lectern.llm.common import (
+    bounded_batches, col, forget_worker_state, mix, release, stored,
+)
 
 WORDS, PERCENT = 5, 80
 COUNTER_BITS, CHUNK_BITS = 22, 16
@@ -121,6 +123,7 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_worker_state()
         counts = np.zeros(1 << COUNTER_BITS, np.int64)
         schema = ["doc_id", "n", "node", "chunk", "counts"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]

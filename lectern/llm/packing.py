@@ -1,7 +1,7 @@
 """Best-fit packing of tokenised documents into sequences, certified by lower bounds.
 
 1. Documents are tokenised in batches; whatever is longer than a sequence is cut.  Words
-   are encoded once in each Python worker and kept in a bounded cache.
+   are encoded once in each Python worker and kept in a bounded cache while it tokenises.
 2. Pieces (ids, lengths and checksums, no texts) are dealt to partitions of a few thousand
    and packed by best-fit decreasing.
 3. Dual feasible functions give a lower bound on each partition's number of sequences.  A
@@ -56,7 +56,7 @@ class Encoder:
     Any other text goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -131,7 +131,7 @@ def tokenise(
         return work
 
     fields = PIECE + ([("ids", T.BinaryType())] if keep_ids else [])
-    return flat_python(df, [col(doc_id).cast("long"), col(text)], fields, worker)
+    return flat_python(df, [col(doc_id).cast("long"), col(text)], fields, worker, state=True)
 
 
 def lower_bound(counts: np.ndarray, size: int = SEQUENCE) -> int:
