@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -43,16 +42,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of steps whose results are stored and plans are dropped.
-
-    Spark deletes them when the driver collects its garbage, which it may not do for long;
-    after a large step it is asked to.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def with_python(
     df: DataFrame, inputs: list[Column], fields: Fields, worker: Callable, keep: list[str],
 ) -> DataFrame:

@@ -36,7 +36,7 @@ from pandas.util import hash_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.llm.common import (
-    bounded_batches, col, forget_worker_state, mix, release, stored,
+    bounded_batches, col, forget_worker_state, mix, stored,
 )
 
 WORDS, PERCENT = 5, 80
@@ -236,8 +236,6 @@ def groups_of(entries: DataFrame, sizes: DataFrame) -> DataFrame:
     near = stored(entries.withColumns(ends)
                   .where((F.col("salt") > 0) | (F.col("low") != F.col("high")))
                   .select("shingle", "salt", "node"), "blocks")
-    del entries
-    release(near.sparkSession)  # the shuffled entries are the join's largest files
     # several tasks may have sent a node, which counts in its favour
     shared = near.groupBy("node").agg(F.count("*").alias("shared")).join(sizes, "node") \
         .where(F.col("shared") >= least_shared(F.col("n"))).select("node")
