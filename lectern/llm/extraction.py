@@ -56,7 +56,8 @@ NOT_IN_P = BLOCKS - {"br"}
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(?i)\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+#: One attribute with its whole value; read one after another from the start of the tag.
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 MARK_SPLIT = re.compile(r"[^a-z0-9]+")
 
 

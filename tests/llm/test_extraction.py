@@ -38,6 +38,24 @@ def test_main_text(page, text):
     assert X.main_text(page) == text
 
 
+@pytest.mark.parametrize("attributes", [
+    'style="overflow:hidden"', 'title="The hidden war"', 'href="/hidden/gem"', 'href="/p?id=ad"',
+    'data-role="widget"', "title='a class=ad b'", "href=/x?class=ad", "data-hidden", "my:id=ad",
+    'aria-hidden="false"', 'title="x > hidden" lang=en',
+])
+def test_marks_are_read_from_whole_attributes(attributes):
+    assert X.marks_of(attributes) == ()
+    assert X.main_text(f"<article><div {attributes}>a</div>b</article>") == "a b"
+
+
+@pytest.mark.parametrize("attributes", [
+    "hidden", "HIDDEN=''", "title='x' hidden", 'Class = "box ad"', "id=ad", "role=navigation",
+    "aria-hidden='true'", 'title="a"class="ad"', "lang=en/class=x id='ad'",
+])
+def test_marks_of_whole_attributes_count(attributes):
+    assert X.main_text(f"<article><div {attributes}>a</div>b</article>") == "b"
+
+
 def test_deep_and_long_pages():
     assert X.main_text("<b>" * 50_000 + "x" + "<div>" * 30_000 + "y") == "x y"
     page = "<article>" + "<p>word &amp; word</p>" * 20_000 + "</article>"
