@@ -1,15 +1,18 @@
 """HTML extraction by removing each site's recurring template.
 
-1. Every page is parsed into an element tree, and every element outside running prose is
-   hashed with all below it.  Spark counts on how many pages of a host each hash occurs.
-2. Subtrees that recur across many pages of their host are the site's template and are
-   deleted.  Prose of the article itself (paragraphs, headings, lists and text) is never
-   deleted for recurring: a sentence may well stand in many articles.
-3. What remains of the article (without one, of the body) is read block by block, leaving
-   out elements that are furniture by name or role wherever they stand.
-
-Pages are parsed on their own; only (host, hash) counts and each page's recurring hashes
-are shuffled, and the page itself once, to meet them.
+1. Every page is parsed into an element tree.  What is read of it are its articles, without
+   one its body, less the elements that are furniture by name or role.  Every container in
+   that part, and every paragraph, list, table or span that stands on its own there, is
+   hashed with all below it; Spark counts on how many pages of a host each hash occurs.
+2. Subtrees that recur are the site's template and are deleted.  A container is template
+   from a few texts on.  Prose is template if it stands on many at one place, and mostly at
+   that place: a sentence may well stand in many articles, but then here and there.  The
+   same number is asked of a container that holds most of its page's text, and a page is
+   not emptied of all its prose.
+3. What remains is read block by block.
+
+Pages are parsed on their own.  Only hashes are shuffled, and the pages on which a template
+stands, to meet it.
 """
 
 from __future__ import annotations
@@ -17,13 +20,16 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
+import zlib
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lectern.llm.common import col, flat_python, stored, with_python
+from lectern.llm.common import col, flat_python, key_filter, stored, with_python
 
-#: A subtree is template from so many pages of its host on, if these are such a share of them.
+#: A container is template from so many pages of its host on, if these are such a share of them.
 LEAST_PAGES, LEAST_SHARE = 3, 0.02
+#: Prose is template from so many on.
+LEAST_PROSE = 50
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -35,10 +41,15 @@ BLOCKS = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary "
     "table tbody td tfoot th thead tr ul".split())
-#: Prose that stays in an article however often it recurs.
 PROSE = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th "
     "figure figcaption a b i em strong span code br hr sub sup small q cite mark u s".split())
+#: Prose that is deleted where it recurs at one place; headings and cells name what follows.
+UNITS = frozenset("p ul ol dl li blockquote pre table figure".split())
+#: The same, if no running text stands beside it.
+INLINE = frozenset("a b i em strong span code sub sup small q cite mark u s".split())
+PAGE = frozenset(("#root", "html", "body"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Words of a class, id or role that mark furniture.
 MARKS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments "
@@ -71,6 +82,8 @@ class Element:
 
     def furniture(self, in_article: bool) -> bool:
         """By name or mark; an article may have a header and title of its own."""
+        if self.name in PAGE:
+            return False
         if self.name in FURNITURE or self.name == "header" and not in_article:
             return True
         return any(m in MARKS and not (in_article and m == "header") for m in self.marks)
@@ -141,72 +154,147 @@ def close_through(stack: list[Element], names: set[str], stop) -> None:
             return
 
 
-def subtree_hashes(root: Element) -> dict[int, int]:
-    """id(element) -> 64-bit hash of the element with all below it, however deep."""
-    found: dict[int, int] = {}
-    for element in reversed([e for e, _ in walk(root)]):  # children before parents
-        digest = hashlib.blake2b(f"{element.name} {element.attributes.strip()}".encode(
-            "utf-8", "replace"), digest_size=8)
-        for child in element.children:
-            if isinstance(child, str):
-                text = " ".join(child.split())
-                if text:
-                    digest.update(b"\0t" + text.encode("utf-8", "replace"))
-            else:
-                digest.update(b"\0e" + found[id(child)].to_bytes(8, "little", signed=True))
-        found[id(element)] = int.from_bytes(digest.digest(), "little", signed=True)
-    return found
-
+def starts_of(root: Element) -> list[Element]:
+    """Topmost articles that do not lie in furniture, without one the whole page.
 
-def walk(root: Element):
-    """(element, whether it lies in an article) of all elements, parents first."""
-    stack = [(root, False)]
+    An article that is furniture by its own marks counts only where no other one stands, one
+    in furniture only where the page has no text besides.  A form may hold a whole page.
+    """
+    plain, marked, within, stack = [], [], [], [(root, False)]
     while stack:
-        element, inside = stack.pop()
-        yield element, inside
-        below = inside or element.name in ("article", "main")
-        stack += [(c, below) for c in reversed(element.children) if not isinstance(c, str)]
+        element, hidden = stack.pop()
+        if element.name in ("article", "main"):
+            (within if hidden else marked if element.furniture(False) else plain).append(element)
+            continue
+        hidden = hidden or element.name != "form" and element.furniture(False)
+        stack += [(c, hidden) for c in reversed(element.children) if not isinstance(c, str)]
+    found = plain or marked
+    if not found and within and not text_from([root], False, set())[0]:
+        found = within
+    return found or [root]
+
 
+def read_part(root: Element):
+    """Starts, and (element, parent, path, place) of all elements read, parents first.
 
-def candidates(root: Element) -> dict[int, int]:
-    """id(element) -> hash of every subtree that may be deleted for recurring."""
-    hashes = subtree_hashes(root)
-    return {id(e): hashes[id(e)] for e, inside in walk(root)
-            if e.name not in ("#root", "html", "body", "article", "main")
-            and not (inside and e.name in PROSE)}
+    The path is a hash of the names from the start; the place is one of the path and the
+    position below the parent, counted from the nearer end.
+    """
+    starts = starts_of(root)
+    found: list[tuple[Element, Element | None, int, int]] = []
+    stack = [(s, None, 0, 0) for s in reversed(starts)]
+    while stack:
+        entry = element, _, path, _ = stack.pop()
+        found.append(entry)
+        inside = element.name in ("article", "main") or starts[0] is not root
+        path = zlib.crc32(element.name.encode("utf-8", "replace"), path)
+        below = [c for c in element.children if not isinstance(c, str)]
+        for i in range(len(below) - 1, -1, -1):
+            child, end = below[i], len(below) - 1 - i
+            if not child.furniture(inside):
+                at = b"<%d" % i if i <= end else b">%d" % end
+                stack.append((child, element, path, zlib.crc32(at, path)))
+    return starts, found
+
+
+#: Place of containers; those of prose are above.
+CONTAINER = 0
+
+
+def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
+    """id(element) -> (hash, place) of every subtree that may be deleted for recurring, and
+    a hash of the text read."""
+    starts, found = read_part(root)
+    read = {id(entry[0]) for entry in found}
+    hashes: dict[int, int] = {}
+    sizes: dict[int, int] = {}
+    loose = set()
+    body = hashlib.blake2b(digest_size=8)
+    for element, _, _, _ in reversed(found):  # children before parents
+        digest, size = hashlib.blake2b(f"{element.name} {element.attributes.strip()}".encode(
+            "utf-8", "replace"), digest_size=8), 0
+        for child in element.children:
+            if isinstance(child, str):
+                text = " ".join(child.split())
+                if text:
+                    piece = b"\0t" + text.encode("utf-8", "replace")
+                    digest.update(piece)
+                    body.update(piece)
+                    size += len(text)
+                    loose.add(id(element))
+            elif id(child) in read:
+                digest.update(b"\0e" + hashes[id(child)].to_bytes(8, "little", signed=True))
+                size += sizes[id(child)]
+        hashes[id(element)] = int.from_bytes(digest.digest(), "little", signed=True)
+        sizes[id(element)] = size
+    chosen = {}
+    for element, parent, path, place in found:
+        name, size = element.name, sizes[id(element)]
+        if parent is None or not size or name in PAGE or name in ("article", "main"):
+            continue
+        # a bare container of running text is a paragraph of the article
+        if name not in PROSE and (element.attributes.strip() or id(element) not in loose
+                                  or starts[0] is root):
+            chosen[id(element)] = hashes[id(element)], CONTAINER
+        elif name in UNITS or name not in PROSE or name in INLINE and parent.name not in PROSE \
+                and id(parent) not in loose:
+            chosen[id(element)] = hashes[id(element)], place + 1
+    return chosen, int.from_bytes(body.digest(), "little", signed=True)
 
 
 def page_hashes(page: str | None) -> list[int]:
-    """Distinct hashes of a page's subtrees, as they are counted."""
-    return sorted(set(candidates(parse(page)).values())) if page else []
+    """Distinct hashes of a page's containers that do not hold most of its text."""
+    if not page:
+        return []
+    return sorted({h for h, place in candidates(parse(page))[0].values() if place == CONTAINER})
 
 
 def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
-    """Text of the article without template and furniture, blocks joined by one space."""
+    """Text of the article without template and furniture, blocks joined by one space.
+
+    ``template`` holds hash ^ place of what recurs.
+    """
     if not page:
         return ""
     root = parse(page)
-    gone = {e for e, h in candidates(root).items() if h in template} if template else set()
-    articles = [e for e, inside in walk(root)
-                if e.name in ("article", "main") and not inside and id(e) not in gone]
+    if not template:
+        return text_of(root, set())[0]
+    chosen, _ = candidates(root)
+    text, told = text_of(root, {e for e, (h, p) in chosen.items() if h ^ p in template})
+    if not told:  # headings at most: these pages are made of what recurs
+        text, _ = text_of(root, {e for e, (h, p) in chosen.items()
+                                 if p == CONTAINER and h in template})
+    return text
+
+
+def text_of(root: Element, gone: set[int]) -> tuple[str, bool]:
+    """Text of what is read without the elements ``gone``; whether any is outside headings."""
+    starts = starts_of(root)
+    return text_from(starts, starts[0] is not root, gone)
+
+
+def text_from(starts: list[Element], inside: bool, gone: set[int]) -> tuple[str, bool]:
     blocks: list[list[str]] = [[]]
-    for start in articles or [root]:
+    told = False
+    for start in starts:
         # text, an element to enter, or None where a block ends; the next one is last
-        todo: list[tuple[Element | str | None, bool]] = [(start, bool(articles))]
+        todo: list[tuple[Element | str | None, bool, bool]] = [(start, inside, False)]
         while todo:
-            item, in_article = todo.pop()
+            item, in_article, heading = todo.pop()
             if item is None:
                 blocks.append([])
             elif isinstance(item, str):
                 blocks[-1].append(item)
+                told = told or not heading and bool(entities.unescape(item).strip())
             elif item is start or id(item) not in gone and not item.furniture(in_article):
                 if item.name in BLOCKS:
                     blocks.append([])
-                    todo.append((None, in_article))
+                    todo.append((None, in_article, heading))
                 below = in_article or item.name in ("article", "main")
-                todo += [(c, below) for c in reversed(item.children)]
+                heading = heading or item.name in HEADINGS
+                todo += [(c, below, heading) for c in reversed(item.children)]
     texts = (" ".join(entities.unescape("".join(parts)).split()) for parts in blocks)
-    return " ".join(t for t in texts if t)
+    return " ".join(t for t in texts if t), told
 
 
 def host_key(url: Column) -> Column:
@@ -218,33 +306,49 @@ def host_key(url: Column) -> Column:
 
 def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
               html: str = "html") -> DataFrame:
-    """(host, hash, page_id): subtrees of each page that are template of its host, by key.
+    """(host, hash, place, page_id): subtrees of each page that are template of its host.
 
-    Counted over all pages; a host's hashes are summed on the map side first, so a large
+    Counted over the different texts of all pages.  Rows of a host and hash are summed on
+    the map side first, and only those seen often enough are told apart by text, so a large
     host adds no more rows to a task than its distinct subtrees.
     """
     def worker():
         def work(ids, hosts, texts):
-            rows = ([], [], [])
+            rows = ([], [], [], [], [])
             for page, host, text in zip(ids, hosts, texts, strict=True):
-                for found in page_hashes(text):
-                    rows[0].append(page)
-                    rows[1].append(host)
-                    rows[2].append(found)
+                chosen, body = candidates(parse(text)) if text else ({}, 0)
+                for found, place in sorted(set(chosen.values())):
+                    for values, value in zip(rows, (page, host, found, place, body), strict=True):
+                        values.append(value)
             if rows[0]:
                 yield rows
 
         return work
 
     each = flat_python(pages, [col(page_id).cast("long"), host_key(col(url)), col(html)],
-                       [("page_id", T.LongType()), ("host", T.LongType()),
-                        ("hash", T.LongType())], worker)
+                       [(name, T.LongType()) for name in
+                        ("page_id", "host", "hash", "place", "body")], worker)
     each = stored(each, "subtrees")
+    key = F.xxhash64("host", "hash")
+    often = each.groupBy(key.alias("key")).agg(F.count("*").alias("n")) \
+        .where(F.col("n") >= LEAST_PAGES).select("key")
+    each = each.where(key_filter(often)(key))
     sizes = pages.groupBy(host_key(col(url)).alias("host")).agg(F.count("*").alias("pages"))
-    template = each.groupBy("host", "hash").agg(F.count("*").alias("n")) \
-        .where(F.col("n") >= LEAST_PAGES).join(sizes, "host") \
-        .where(F.col("n") >= LEAST_SHARE * F.col("pages")).select("host", "hash")
-    return each.join(template, ["host", "hash"])
+    counts = each \
+        .groupBy("host", "hash", "place").agg(F.count("*").alias("n"))
+    contained = F.coalesce(F.sum(F.when(F.col("place") <= 0, F.col("n"))), F.lit(0))
+    standing = F.coalesce(F.sum(F.when(F.col("place") > 0, F.col("n"))), F.lit(0))
+    main_place = F.max(F.when(F.col("place") > 0, F.struct("n", "place")))
+    places = F.array(
+        F.when((F.col("contained") >= LEAST_PAGES)
+               & (F.col("contained") >= LEAST_SHARE * F.col("pages")), F.lit(CONTAINER)),
+        F.when((F.col("top.n") >= LEAST_PROSE) & (2 * F.col("top.n") > F.col("standing")),
+               F.col("top.place")))
+    template = counts.groupBy("host", "hash") \
+        .agg(contained.alias("contained"), standing.alias("standing"), main_place.alias("top")) \
+        .join(sizes, "host") \
+        .select("host", "hash", F.explode(F.array_compact(places)).alias("place"))
+    return each.drop("body").join(template, ["host", "hash", "place"])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
@@ -254,17 +358,24 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     A null or empty page has an empty text.  Repeated rows stay; a page without a host
     belongs to the host without a name.  Other columns are not used.
     """
-    template = recurring(pages, page_id, url, html).groupBy("page_id", "host") \
-        .agg(F.collect_set("hash").alias("template"))
+    template = stored(
+        recurring(pages, page_id, url, html).groupBy("page_id", "host")
+        .agg(F.collect_set(F.col("hash").bitwiseXOR(F.col("place"))).alias("template")),
+        "templates")
     named = pages.select(col(page_id).alias("page_id"), col(url).alias("url"),
                          col(html).alias("html"), host_key(col(url)).alias("page_host"))
-    met = named.join(template, F.col("page_host").eqNullSafe(F.col("host"))
-                     & named["page_id"].cast("long").eqNullSafe(template["page_id"]), "left") \
+    some = key_filter(template.select(F.xxhash64("page_id", "host").alias("key")))(
+        F.xxhash64(F.col("page_id").cast("long"), F.col("page_host")))
+    met = named.where(some).join(
+        template, F.col("page_host").eqNullSafe(F.col("host"))
+        & named["page_id"].cast("long").eqNullSafe(template["page_id"]), "left") \
         .select(named["page_id"], "url", "html", "template")
+    bare = named.where(~some).select("page_id", "url", "html", F.lit(None).cast(
+        template.schema["template"].dataType).alias("template"))
 
     def worker():
         return lambda texts, templates: [
             [main_text(t, frozenset(h or ())) for t, h in zip(texts, templates, strict=True)]]
 
-    return with_python(met, [F.col("html"), F.col("template")], [("text", T.StringType())],
-                       worker, ["page_id", "url"])
+    return with_python(met.unionByName(bare), [F.col("html"), F.col("template")],
+                       [("text", T.StringType())], worker, ["page_id", "url"])

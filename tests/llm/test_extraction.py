@@ -95,6 +95,50 @@ def test_recurring_prose_of_articles_stays(spark):
     assert {r["page_id"]: r["text"] for r in got} == {i: f"Same. {i}" for i in range(30)}
 
 
+def extracted(spark, rows):
+    return {r["page_id"]: r["text"]
+            for r in X.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+
+
+def test_prose_that_recurs_at_one_place_of_articles_is_deleted(spark):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(2 * X.LEAST_PROSE):
+        own = [prose(rng, "en", 12) for _ in range(rng.randint(2, 6))]
+        kept = list(own)
+        kept.insert(i % (len(own) + 1), "As said before.")  # stands here and there
+        page = ("<article><h1>Title</h1><ul><li>Home<li>News</ul><span>Notice</span>"
+                + "".join(f"<p>{p}</p>" for p in kept)
+                + "<table><tr><td>Rates<td>9</table><p>All <b>rights</b> reserved.</p></article>")
+        rows.append((i, "http://a.example.org/x", page))
+        want[i] = " ".join(["Title", *kept])
+        assert X.main_text(page) == " ".join(  # without a template all of it is read
+            ["Title Home News Notice", *kept, "Rates 9 All rights reserved."])
+    rows.append((-1, "http://b.example.org/x", rows[0][2]))
+    want[-1] = X.main_text(rows[0][2])
+    assert extracted(spark, rows) == want
+
+
+def test_a_page_is_not_emptied_of_its_prose(spark):
+    rows = [(i, "http://a.example.org/x", f"<article><h1>{i}</h1><p>Soon.</p></article>")
+            for i in range(X.LEAST_PROSE + 5)]
+    assert extracted(spark, rows) == {i: f"{i} Soon." for i, _, _ in rows}
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article>a</article><aside><article>no</article></aside>", "a"),
+    ("<nav><main>no</main></nav><main>a</main>", "a"),
+    ("<article>a</article><div class=comments><article>no</article></div>", "a"),
+    ("<article>a</article><article class='comment'>no</article>", "a"),
+    ("<aside><article>no</article></aside><div>a</div>", "a"),
+    ("<body class=no-sidebar><form><div>no</div><article>a</article></form>", "a"),
+    ("<div class=has-sidebar><article>a</article></div>", "a"),
+    ("<article class=no-sidebar>a</article><div>no</div>", "a"),
+])
+def test_articles_in_furniture_are_not_read(page, text):
+    assert X.main_text(page) == text
+
+
 def test_template_counts_equal_a_plain_count(spark):
     rng = random.Random(6)
     rows = [(i, *site(rng, f"h{i % 3}.example.org", i, f"t{i % 5}")[:2]) for i in range(60)]
