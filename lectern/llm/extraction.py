@@ -3,7 +3,8 @@
 1. Every page is parsed into an element tree.  What is read of it are its articles, without
    one its body, less the elements that are furniture by name or role.  Every container in
    that part, and every paragraph, list, table or span that stands on its own there, is
-   hashed with all below it; Spark counts on how many pages of a host each hash occurs.
+   hashed with all below it; Spark counts on how many different texts of a host each hash
+   occurs, so copies of a page count once.
 2. Subtrees that recur are the site's template and are deleted.  A container is template
    from a few texts on.  Prose is template if it stands on many at one place, and mostly at
    that place: a sentence may well stand in many articles, but then here and there.  The
@@ -26,9 +27,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lectern.llm.common import col, flat_python, key_filter, stored, with_python
 
-#: A container is template from so many pages of its host on, if these are such a share of them.
-LEAST_PAGES, LEAST_SHARE = 3, 0.02
-#: Prose is template from so many on.
+#: A container is template from so many different texts of its host on.  No share of the
+#: host's pages is asked, so the rule is the same on hosts of any size.
+LEAST_PAGES, LEAST_SHARE = 3, 0.0
+#: Prose, and a container with most of its page's text, is template from so many on.
 LEAST_PROSE = 50
 
 # Element names of HTML.
@@ -197,8 +199,8 @@ def read_part(root: Element):
     return starts, found
 
 
-#: Place of containers; those of prose are above.
-CONTAINER = 0
+#: Places of containers, without and with most of the page's text; those of prose are above.
+CONTAINER, HOLDER = 0, -1
 
 
 def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
@@ -227,6 +229,7 @@ def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
                 size += sizes[id(child)]
         hashes[id(element)] = int.from_bytes(digest.digest(), "little", signed=True)
         sizes[id(element)] = size
+    total = sum(sizes[id(s)] for s in starts)
     chosen = {}
     for element, parent, path, place in found:
         name, size = element.name, sizes[id(element)]
@@ -235,7 +238,7 @@ def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
         # a bare container of running text is a paragraph of the article
         if name not in PROSE and (element.attributes.strip() or id(element) not in loose
                                   or starts[0] is root):
-            chosen[id(element)] = hashes[id(element)], CONTAINER
+            chosen[id(element)] = hashes[id(element)], HOLDER if 2 * size >= total else CONTAINER
         elif name in UNITS or name not in PROSE or name in INLINE and parent.name not in PROSE \
                 and id(parent) not in loose:
             chosen[id(element)] = hashes[id(element)], place + 1
@@ -333,20 +336,18 @@ def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     often = each.groupBy(key.alias("key")).agg(F.count("*").alias("n")) \
         .where(F.col("n") >= LEAST_PAGES).select("key")
     each = each.where(key_filter(often)(key))
-    sizes = pages.groupBy(host_key(col(url)).alias("host")).agg(F.count("*").alias("pages"))
-    counts = each \
+    counts = each.select("host", "hash", "place", "body").distinct() \
         .groupBy("host", "hash", "place").agg(F.count("*").alias("n"))
     contained = F.coalesce(F.sum(F.when(F.col("place") <= 0, F.col("n"))), F.lit(0))
     standing = F.coalesce(F.sum(F.when(F.col("place") > 0, F.col("n"))), F.lit(0))
     main_place = F.max(F.when(F.col("place") > 0, F.struct("n", "place")))
     places = F.array(
-        F.when((F.col("contained") >= LEAST_PAGES)
-               & (F.col("contained") >= LEAST_SHARE * F.col("pages")), F.lit(CONTAINER)),
+        F.when(F.col("contained") >= LEAST_PAGES, F.lit(CONTAINER)),
+        F.when(F.col("contained") >= LEAST_PROSE, F.lit(HOLDER)),
         F.when((F.col("top.n") >= LEAST_PROSE) & (2 * F.col("top.n") > F.col("standing")),
                F.col("top.place")))
     template = counts.groupBy("host", "hash") \
         .agg(contained.alias("contained"), standing.alias("standing"), main_place.alias("top")) \
-        .join(sizes, "host") \
         .select("host", "hash", F.explode(F.array_compact(places)).alias("place"))
     return each.drop("body").join(template, ["host", "hash", "place"])
 

@@ -139,6 +139,41 @@ def test_articles_in_furniture_are_not_read(page, text):
     assert X.main_text(page) == text
 
 
+@pytest.mark.parametrize("page", [
+    "<body><div><p>Own text.</p></div></body>", "<article><div>Own text.</div></article>",
+    "<body><div class=a><p>Own</p></div><div class=b><p>text.</p></div></body>",
+])
+def test_copies_of_a_page_count_once(spark, page):
+    rows = [(1, "http://a.example.org/x", page)] * 3
+    rows += [(i, "http://a.example.org/y", page) for i in range(2, 2 * X.LEAST_PROSE)]
+    rows += [(200, "http://a.example.org/z", page.replace("<div", "<div ", 1))]
+    assert set(extracted(spark, rows).values()) == {"Own text."}
+
+
+def test_main_content_and_common_sentences_stay(spark):
+    rng = random.Random(9)
+    main = prose(rng, "en", 40)
+    rows = [(i, "http://a.example.org/x", f"<body><div class=date>{i} May</div>"
+             f"<div class=x><p>{main}</p></div></body>") for i in range(6)]
+    want = {i: f"{i} May {main}" for i in range(6)}
+    for i in range(10, 36):
+        own = prose(rng, "en", 9)
+        rows.append((i, "http://b.example.org/x", f"<body><p>{own}</p><p>It is so.</p></body>"))
+        want[i] = f"{own} It is so."
+    assert extracted(spark, rows) == want
+
+
+def test_template_does_not_depend_on_the_size_of_the_host(spark):
+    rng = random.Random(10)
+    rows, want = [], {}
+    for i in range(1000):
+        own = prose(rng, "en", 9)
+        notice = "<div class=x>Old notice</div>" if i < 4 else ""
+        rows.append((i, "http://a.example.org/x", f"<article>{notice}<p>{own}</p></article>"))
+        want[i] = own
+    assert extracted(spark, rows) == want
+
+
 def test_template_counts_equal_a_plain_count(spark):
     rng = random.Random(6)
     rows = [(i, *site(rng, f"h{i % 3}.example.org", i, f"t{i % 5}")[:2]) for i in range(60)]
