@@ -5,10 +5,15 @@ a maximum over positions and a softmax.  The network is trained in numpy on the
 bounded sample of labelled texts; its few thousand weights travel with the task.  A text is
 cut into consecutive windows, all of which count, weighted by their bytes; many windows
 share one matrix product.
+
+A network knows its own labels only, and gives one of them to any text.  Whether a text is in
+a language learned at all is told by the share of its byte trigrams that the sample holds;
+the least share is calibrated on texts held out of it.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +33,14 @@ EPOCHS, BATCH, RATE = 8, 128, 4e-3
 #: Windows in one matrix product when a text is judged.
 PRODUCT = 256
 
+#: One sampled text in so many is held out to calibrate the least share of known trigrams.
+HELD_OUT = 8
+#: A text may have so many times the unknown trigrams of the least familiar held-out texts,
+#: those below this quantile.
+MARGIN, QUANTILE = 2.0, 0.01
+#: Bytes looked up at a time.
+STRETCH = 1 << 16
+
 UNDETERMINED = "und"
 
 
@@ -61,6 +74,46 @@ class Network:
         return softmax(top @ self.out + self.out_bias)
 
 
+@dataclass
+class Vocabulary:
+    """Byte trigrams of the sample, a bit each, and the least share of them in a text."""
+
+    known: np.ndarray
+    least: float
+
+
+def trigrams(data: bytes) -> np.ndarray:
+    codes = np.frombuffer(data, np.uint8).astype(np.int32)
+    return codes[:-2] << 16 | codes[1:-1] << 8 | codes[2:]
+
+
+def known_share(known: np.ndarray, pieces: list[bytes]) -> float:
+    """Share of the pieces' trigrams that are known; 1 without any."""
+    n = found = 0
+    for data in pieces:
+        for at in range(0, max(0, len(data) - 2), STRETCH):
+            hits = known[trigrams(data[at:at + STRETCH + 2])]
+            n, found = n + len(hits), found + int(hits.sum())
+    return found / n if n else 1.0
+
+
+def learn_vocabulary(samples: list[list[bytes]]) -> Vocabulary:
+    """Of all sampled texts' windows; equal texts are held out together."""
+    known = np.zeros(1 << 24, bool)
+    held = [zlib.crc32(b"\0".join(windows)) % HELD_OUT == 0 for windows in samples]
+    for windows, out in zip(samples, held, strict=True):
+        if not out:
+            for data in windows:
+                known[trigrams(data)] = True
+    shares = [known_share(known, windows) for windows, out in zip(samples, held, strict=True)
+              if out]
+    unknown = 1 - float(np.quantile(shares, QUANTILE, method="lower")) if shares else 1.0
+    for windows in samples:
+        for data in windows:
+            known[trigrams(data)] = True
+    return Vocabulary(np.packbits(known), max(0.0, 1 - MARGIN * unknown))
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     x = np.exp(x - x.max(axis=1, keepdims=True))
     return x / x.sum(axis=1, keepdims=True)
@@ -192,9 +245,9 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def fit(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
-        label: str = "lang") -> Network | None:
-    """Train on the labelled rows where ``usable`` holds.
+def sample(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
+           label: str = "lang") -> list[tuple[str, list[bytes]]]:
+    """(label, windows) of a sample of the labelled rows where ``usable`` holds.
 
     About SAMPLE_DOCS documents of each label are drawn by a hash of their id, and
     SAMPLE_WINDOWS windows, spread over the text, of each; that bounds what the driver holds.
@@ -202,7 +255,7 @@ def fit(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text
     rows = df.where(usable & col(label).isNotNull())
     counts = {r[0]: r[1] for r in rows.groupBy(col(label)).count().collect()}
     if not counts:
-        return None
+        return []
     share = F.lit(0.0)
     for name, n in counts.items():
         share = F.when(col(label) == name, min(1.0, SAMPLE_DOCS / n)).otherwise(share)
@@ -215,29 +268,55 @@ def fit(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text
             for name, value in zip(labels, texts, strict=True):
                 data = value.encode("utf-8", "replace")
                 room = max(0, len(data) - WINDOW)
-                for at in sorted({room * k // max(1, SAMPLE_WINDOWS - 1)
-                                  for k in range(SAMPLE_WINDOWS)}):
-                    found[0].append(name)
-                    found[1].append(data[at:at + WINDOW])
+                found[0].append(name)
+                found[1].append([data[at:at + WINDOW] for at in sorted(
+                    {room * k // max(1, SAMPLE_WINDOWS - 1) for k in range(SAMPLE_WINDOWS)})])
             if found[0]:
                 yield found
 
         return work
 
-    windows = flat_python(drawn, [col(label), col(text)],
-                          [("label", T.StringType()), ("data", T.BinaryType())], worker)
-    return train([(r[0], bytes(r[1])) for r in windows.collect()])
+    windows = flat_python(
+        drawn, [col(label), col(text)],
+        [("label", T.StringType()), ("windows", T.ArrayType(T.BinaryType()))], worker)
+    return [(r[0], [bytes(w) for w in r[1]]) for r in windows.collect()]
+
+
+def fit(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
+        label: str = "lang") -> Network | None:
+    """Train on a sample of the labelled rows where ``usable`` holds."""
+    return fit_both(df, usable, doc_id, text, label)[0]
+
+
+def fit_both(df: DataFrame, usable: Column, doc_id: str = "doc_id", text: str = "text",
+             label: str = "lang") -> tuple[Network | None, Vocabulary]:
+    """The network and the vocabulary of one sample."""
+    drawn = sample(df, usable, doc_id, text, label)
+    return train([(name, data) for name, windows in drawn for data in windows]), \
+        learn_vocabulary([windows for _, windows in sorted(drawn)])
 
 
 def identify(df: DataFrame, net: Network | None, text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
+             keep: list[str] | None = None, vocabulary: Vocabulary | None = None) -> DataFrame:
     """``keep`` (all columns) plus ``lang_pred`` and ``score``.
 
     A null, empty or letterless text is ``und`` with score 0, and so is every text when
     there was nothing to learn from.  The score is the byte-weighted mean of the windows'
-    probability of the label.
+    probability of the label.  With a vocabulary there is ``familiar``, too: whether enough
+    of the text's byte trigrams are known.
     """
     readable = F.when(has_letter(col(text)), col(text))
-    return with_python(
-        df, [readable], [("lang_pred", T.StringType()), ("score", T.DoubleType())],
-        lambda: lambda texts: judge(net, texts), keep or df.columns)
+    fields = [("lang_pred", T.StringType()), ("score", T.DoubleType())]
+    if vocabulary is None:
+        return with_python(df, [readable], fields, lambda: lambda texts: judge(net, texts),
+                           keep or df.columns)
+    packed, least = vocabulary.known, vocabulary.least
+
+    def worker():
+        known = np.unpackbits(packed).view(bool)
+        return lambda texts: [*judge(net, texts), [
+            t is not None and known_share(known, [t.encode("utf-8", "replace")]) >= least
+            for t in texts]]
+
+    return with_python(df, [readable], [*fields, ("familiar", T.BooleanType())], worker,
+                       keep or df.columns)
