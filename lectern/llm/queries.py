@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import (
-    chat, decontaminate, extraction, fingerprints, jaccard, langid, packing, secret_scan,
-    toxicity, urls,
+    chat, collocations, decontaminate, extraction, fim, fingerprints, jaccard, langid, packing,
+    quality, secret_scan, toxicity, urls,
 )
 from lectern.llm.common import id_hash, read
 
@@ -76,6 +76,18 @@ def op10_html_extraction(spark, sf_dir):
         .withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    return fim.report(read(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark, sf_dir):
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark, sf_dir):
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -88,6 +100,9 @@ def queries() -> dict[str, Query]:
         "op8_url_filters": op8_url_filters,
         "op9_benchmark_decontamination": op9_benchmark_decontamination,
         "op10_html_extraction": op10_html_extraction,
+        "op11_fill_in_middle": op11_fill_in_middle,
+        "op12_phrase_collocations": op12_phrase_collocations,
+        "op13_quality_rules": op13_quality_rules,
     }
 
 
@@ -160,5 +175,84 @@ def _url_filters_sql() -> str:
     FROM judged LEFT JOIN scores USING (url)"""
 
 
+def _fill_in_middle_sql() -> str:
+    draw = ", ".join(f"('0x' || substr(digest, {8 * i + 1}, 8))::BIGINT AS h{i + 1}"
+                     for i in range(4))
+    marks = " OR ".join(f"contains(text, '{m}')" for m in (fim.PREFIX, fim.SUFFIX, fim.MIDDLE))
+    return f"""
+    WITH drawn AS (
+      SELECT doc_id, coalesce(text, '') AS text,
+             sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS digest FROM documents),
+    cut AS (
+      SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units, {draw}
+      FROM drawn),
+    bounds AS (
+      SELECT *, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS low,
+             greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS high,
+             CASE WHEN text = '' OR {marks} OR h3 % 100 >= {fim.PLAIN_FROM} THEN 'plain'
+                  WHEN h4 % 100 < {fim.SPM_BELOW} THEN 'spm' ELSE 'psm' END AS form FROM cut),
+    parts AS (
+      SELECT doc_id, text, form, len(units) AS n,
+             array_to_string(units[:low], '') AS prefix,
+             array_to_string(units[low + 1:high], '') AS middle,
+             array_to_string(units[high + 1:], '') AS suffix FROM bounds)
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN text
+             WHEN 'psm' THEN '{fim.PREFIX}' || prefix || '{fim.SUFFIX}' || suffix
+                             || '{fim.MIDDLE}' || middle
+             ELSE '{fim.SUFFIX}' || suffix || '{fim.PREFIX}' || prefix
+                  || '{fim.MIDDLE}' || middle END) AS output_sha256,
+           sha256(text) AS restored_sha256
+    FROM parts"""
+
+
+def _phrase_collocations_sql() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+    WITH texts AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS text FROM documents),
+    pieces AS (
+      SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+    words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY 1),
+    grams AS (
+      SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i
+            FROM words, (VALUES (1), (2), (3)) sizes(size))),
+    counts AS (SELECT lang, size, phrase, count(*) AS f FROM grams GROUP BY ALL
+               HAVING count(*) >= {collocations.LEAST}),
+    whole AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w
+              FROM counts WHERE size > 1),
+    cuts AS (
+      SELECT lang, phrase, a, k, array_to_string(w[:k], ' ') AS first_part,
+             array_to_string(w[k + 1:], ' ') AS rest
+      FROM whole, (VALUES (1), (2)) cut(k) WHERE k < size),
+    scored AS (
+      SELECT c.lang, c.phrase, a, k, p.f AS l, q.f AS r,
+             ({collocations.SCALE}::HUGEINT * a * a // (p.f::HUGEINT * q.f))::BIGINT AS score
+      FROM cuts c JOIN counts p ON p.lang = c.lang AND p.phrase = first_part
+                  JOIN counts q ON q.lang = c.lang AND q.phrase = rest),
+    best AS (SELECT * FROM scored
+             QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    longer AS (
+      SELECT lang, phrase, max(a) AS a FROM (
+        SELECT lang, a, array_to_string(unnest([w[:2], w[2:]]), ' ') AS phrase
+        FROM whole WHERE size = 3) GROUP BY 1, 2),
+    kept AS (
+      SELECT best.* FROM best LEFT JOIN longer USING (lang, phrase)
+      WHERE longer.a IS NULL
+            OR 100 * longer.a < {collocations.CONTAINED_PERCENT} * best.a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT
+             AS rank, phrase, a, l, r, n, score
+    FROM kept JOIN sizes USING (lang) QUALIFY rank <= {collocations.TOP}"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_url_filters": _url_filters_sql()}
+    return {
+        "op8_url_filters": _url_filters_sql(),
+        "op11_fill_in_middle": _fill_in_middle_sql(),
+        "op12_phrase_collocations": _phrase_collocations_sql(),
+    }
