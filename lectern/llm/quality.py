@@ -13,7 +13,7 @@ Everything is DataFrame functions; the driver sees counts by feature and bin.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,7 +25,7 @@ LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 
 #: Statistics in thousandths of words, lines or characters, by which rules may decide.
 FEATURES = ("word_length", "symbol_rate", "duplicate_lines", "repeated_words", "capital_rate",
-            "digit_rate", "mark_rate", "exclamation_rate", "distinct_words", "line_words")
+            "digit_rate", "mark_rate", "distinct_words", "line_words")
 
 #: Labelled documents that a list is learned from (on average, drawn by a hash), thresholds
 #: tried for each feature, and the size of a list.
@@ -79,21 +79,21 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         F.length(body).alias("n_chars read"),
         *[counted(body, kind).alias(name) for name, kind in (
             ("n_symbols", SYMBOLS), ("capitals", "A-Z"), ("digits", "0-9"),
-            ("marks", ".,;:!?"), ("exclamations", "!"))])
+            ("marks", ".,;:!?"))])
     words, lines = F.col("words"), F.col("lines")
-    windows = F.when(F.size(words) >= 3, F.transform(
-        F.sequence(F.lit(0), F.size(words) - 3),
-        lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))))
-    windowed = split.withColumn("windows", F.coalesce(windows, F.array().cast("array<string>")))
+    # referred to twice below, so that it stays a column of its own and is computed once
+    hashes = F.slice(F.transform(words, lambda word, i: F.xxhash64(
+        word, F.get(words, i + 1), F.get(words, i + 2))), F.lit(1), F.size(words) - 2)
+    windowed = split.withColumn("hashes", F.when(F.size(words) > 2, hashes))
     measured = windowed.select(
         *[col(k) for k in keep],
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         "n_symbols",
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        repeated_words(F.col("windows")).alias("n_repeat_words"),
+        repeated_words(words, F.col("hashes")).alias("n_repeat_words"),
         F.size(F.array_distinct(words)).alias("n_distinct"), F.size(lines).alias("n_lines"),
-        "n_chars read", "capitals", "digits", "marks", "exclamations")
+        "n_chars read", "capitals", "digits", "marks")
     n = F.col("n_words")
     return measured.select(
         *[col(k).alias(c) for k, c in keep.items()],
@@ -105,24 +105,25 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         rate(F.col("capitals"), F.col("n_chars read")).alias("capital_rate"),
         rate(F.col("digits"), F.col("n_chars read")).alias("digit_rate"),
         rate(F.col("marks"), n).alias("mark_rate"),
-        rate(F.col("exclamations"), n).alias("exclamation_rate"),
         rate(F.col("n_distinct"), n).alias("distinct_words"),
         rate(n, F.col("n_lines")).alias("line_words"))
 
 
-def repeated_words(windows: Column) -> Column:
+def repeated_words(words: Column, hashes: Column) -> Column:
     """How many words stand in a window of three that is found twice or more.
 
-    Windows are sorted to find equal neighbours, only where there are any.
+    Only where hashes of windows repeat, the windows are sorted to find equal neighbours.
     """
-    places = F.array_sort(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
+    places = F.sort_array(F.transform(hashes, lambda _, i: F.struct(
+        F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"),
+        i.alias("i"))))
     # one array of one item, so that the sorted places are computed once
     found = F.transform(F.array(places), lambda own: F.size(F.array_distinct(F.flatten(
         F.transform(
             F.filter(own, lambda x, k: x["w"].eqNullSafe(F.get(own, k - 1)["w"])
                      | x["w"].eqNullSafe(F.get(own, k + 1)["w"])),
             lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))))
-    some = F.size(F.array_distinct(windows)) < F.size(windows)
+    some = F.size(F.array_distinct(hashes)) < F.size(hashes)
     return F.when(some, F.get(found, F.lit(0))).otherwise(0).cast("long")
 
 
@@ -200,10 +201,18 @@ def grow(rows: DataFrame, cuts: dict[str, list[int]]) -> Rule:
                         best, most = Condition(feature, above, threshold), gain
         if not best:
             break
-        rule.append(best)
+        rule.append(centred(covered, best))
     return tuple(rule)
 
 
+def centred(rows: DataFrame, condition: Condition) -> Condition:
+    """The condition with its threshold in the middle of the gap that it stands in."""
+    value = F.col(condition.feature)
+    gap = rows.agg(F.max(F.when(value <= condition.threshold, value)).alias("low"),
+                   F.min(F.when(value > condition.threshold, value)).alias("high")).first()
+    return replace(condition, threshold=(gap["low"] + gap["high"]) // 2)
+
+
 def by_bin(rows: DataFrame, cuts: dict[str, list[int]]) -> tuple[dict, int, int]:
     """Bad and good rows by feature and first threshold not below the value; and of all rows."""
     def bin_of(feature: str) -> Column:
