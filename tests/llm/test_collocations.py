@@ -1,0 +1,156 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import collocations as C, queries
+from lectern.llm.common import read
+from tests.compare import difference, duck
+from tests.llm.helpers import ODD_TEXTS, clashing, empty, frame, prose
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least=10, top=2000):
+    """The contract in plain loops over (lang, text)."""
+    counts, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for size in (1, 2, 3):
+                for i in range(len(words) - size + 1):
+                    counts[lang][tuple(words[i:i + size])] += 1
+    result = []
+    for lang, seen in counts.items():
+        longer = Counter()
+        for phrase, f in seen.items():
+            if len(phrase) == 3 and f >= least:
+                for part in (phrase[:2], phrase[1:]):
+                    longer[part] = max(longer[part], f)
+        found = []
+        for phrase, a in seen.items():
+            if len(phrase) < 2 or a < least or 100 * longer[phrase] >= 50 * a:
+                continue
+            score, _, left, right = min(
+                (1_000_000 * a * a // (seen[phrase[:k]] * seen[phrase[k:]]), k,
+                 seen[phrase[:k]], seen[phrase[k:]]) for k in range(1, len(phrase)))
+            found.append((-score, -a, " ".join(phrase).encode(), left, right))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            result.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(result)
+
+
+def mined(df, **options):
+    return sorted(tuple(r) for r in C.mine(df, **options).collect())
+
+
+def pairs(df):
+    return [(r["lang"], r["text"]) for r in df.collect()]
+
+
+def test_given_documents(spark, sf_dir):
+    df = read(spark, sf_dir, "documents")
+    found = mined(df)
+    assert found == brute(pairs(df)) and len(found) > 100
+
+
+def test_query_equals_duckdb(spark, sf_dir):
+    name = "op12_phrase_collocations"
+    assert difference(queries.queries()[name](spark, sf_dir), duck(sf_dir),
+                      queries.oracle_sql()[name]) is None
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """Prose of a small vocabulary, so that phrases recur, with one language holding most."""
+    rng = random.Random(5)
+    words = [prose(rng, "en", 1) for _ in range(60)] + ["THE", "the", "a,b", "x.", "é ü"]
+    texts = [(" ".join(rng.choices(words, k=rng.randint(0, 200))).replace(" the", rng.choice(
+        ["\n", "\t", "; the", " the"])), rng.choice(["en"] * 6 + ["de", None, "und"]))
+        for _ in range(400)]
+    return frame(spark, texts)
+
+
+@pytest.mark.parametrize("least, top", [(2, 50), (10, 2000), (40, 7)])
+def test_brute_force(noisy, least, top):
+    assert mined(noisy, least=least, top=top) == brute(pairs(noisy), least, top)
+
+
+@pytest.mark.parametrize("name, value", [
+    ("SLICE_WORDS", 7), ("FLUSH_ENTRIES", 50), ("PARTITION_MASS", 1000), ("GATHER_BYTES", 200),
+    ("SPARE_BITS", 0), ("MOST_SLOT_BITS", 15), ("RANK_GROUP", 10)])
+def test_sizes_change_no_result(noisy, monkeypatch, name, value):
+    if name == "MOST_SLOT_BITS":
+        monkeypatch.setattr(C, "LEAST_SLOT_BITS", 15)
+    monkeypatch.setattr(C, name, value)
+    assert mined(noisy, least=5, top=300) == brute(pairs(noisy), 5, 300)
+
+
+def test_summary_keeps_every_frequent_key():
+    rng = np.random.default_rng(3)
+    for threshold in (3, 10):
+        whole = np.concatenate([rng.integers(0, 5000, 20_000), rng.zipf(1.5, 20_000) % 9000])
+        rng.shuffle(whole)
+        capacity = len(whole) // threshold + 1
+        summary = C.Summary(capacity)
+        for part in np.array_split(whole, 37):
+            keys, counts = np.unique(part.astype(np.uint64), return_counts=True)
+            summary.add(keys, counts)
+            summary.merge()
+        true = Counter(whole.tolist())
+        left = set(summary.survivors(threshold).tolist())
+        assert len(summary.keys) <= capacity and summary.error * (capacity + 1) <= len(whole)
+        assert {k for k, n in true.items() if n >= threshold} <= left
+        assert all(true[int(k)] - summary.error <= c <= true[int(k)]
+                   for k, c in zip(summary.keys, summary.counts, strict=True))
+
+
+def test_summary_of_small_capacity_forgets_rare_keys():
+    summary = C.Summary(2)
+    summary.add(np.array([1, 2, 3, 4], np.uint64), np.array([9, 1, 1, 5]))
+    assert summary.survivors(5).tolist() == [1, 4] and summary.error == 1
+
+
+@pytest.mark.parametrize("values", [[], [0], [1, 255, 256], [2**63, 0, 1], [2**64 - 1]])
+def test_packing_round_trip(values):
+    values = np.array(values, np.uint64)
+    assert C.unpacked(C.packed(values), len(values)).tolist() == values.tolist()
+
+
+def test_counts_past_64_bits(spark):
+    rows = [("en", 1, "a", 4_000_000_000), ("en", 1, "b", 3_000_000_000),
+            ("en", 2, "a b", 2_999_999_999), ("en", 0, "", 9_000_000_000)]
+    counts = spark.createDataFrame(rows, "lang string, size int, phrase string, f long")
+    row = C.scored(counts).first()
+    assert row["score"] == 1_000_000 * 2_999_999_999**2 // (4_000_000_000 * 3_000_000_000)
+
+
+def test_ties_take_the_first_cut_and_order(spark):
+    texts = [("x y z", "en")] * 12 + [("b a", "en"), ("a b", "en")] * 11
+    found = mined(frame(spark, texts))
+    assert found == brute([(lang, text) for text, lang in texts])
+    assert [r[2] for r in found] == ["x y z", "a b", "b a"]
+
+
+def test_odd_rows_and_columns(spark):
+    texts = [(t, None) for t in ODD_TEXTS * 11] + [("A b. a B", "")] * 6
+    df = clashing(frame(spark, texts)).select("*", F.lit(1).alias("phrase"), F.lit(2).alias("f"))
+    assert mined(df) == brute([(lang, text) for text, lang in texts])
+    assert mined(empty(spark)) == []
+    assert mined(frame(spark, [(None, "en"), ("", "en"), ("one", "en")])) == []
+
+
+def test_one_language_and_phrase_hold_most_rows(spark):
+    texts = [("same phrase here", "en")] * 3000 + [("other words", "de")] * 10
+    found = mined(frame(spark, texts))
+    assert found == brute([(lang, text) for text, lang in texts])
+
+
+def test_longest_is_checked(spark):
+    with pytest.raises(ValueError, match="1 to 3"):
+        C.frequent(empty(spark), longest=4)

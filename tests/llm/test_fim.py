@@ -1,0 +1,103 @@
+import hashlib
+import re
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import fim, queries
+from lectern.llm.common import read
+from tests.compare import difference, duck
+from tests.llm.helpers import ODD_TEXTS, clashing, empty, frame, save
+
+MARKED = ["a <P> b", "<S>", "x<M>", "<", "<P", "<<P", "S>", "<P><S><M>", "a<S", "><M", "\r\n<\n>"]
+
+
+def expected(doc_id, text):
+    """Units, form, parts and output of one document, in a plain loop."""
+    text = text or ""
+    digest = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i:8 * i + 8], 16) for i in range(4)]
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    n = len(units)
+    low, high = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:low], units[low:high], units[high:]))
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return n, "plain", None, None, text
+    if h[3] % 100 < 20:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def made(df):
+    fields = [name for name, _ in fim.FIELDS]
+    return sorted((r["doc_id"] is not None, r["doc_id"], *(r[f] for f in fields))
+                  for r in fim.transform(df).collect())
+
+
+def wanted(df):
+    return sorted((r["doc_id"] is not None, r["doc_id"], *expected(r["doc_id"], r["text"]))
+                  for r in df.collect())
+
+
+def key(row):
+    return tuple((v is not None, v) for v in row)
+
+
+@pytest.mark.parametrize("texts", [ODD_TEXTS, MARKED, ["a b", "a b", "a b"]])
+def test_brute_force(spark, texts):
+    df = frame(spark, [(t, "en") for t in texts * 9])
+    assert sorted(made(df), key=key) == sorted(wanted(df), key=key)
+
+
+def test_given_documents(spark, sf_dir):
+    df = read(spark, sf_dir, "documents")
+    assert made(df) == wanted(df)
+    forms = {form for _, _, _, form, *_ in made(df)}
+    assert forms == {"plain", "psm", "spm"}
+
+
+def test_query_equals_duckdb(spark, sf_dir):
+    name = "op11_fill_in_middle"
+    assert difference(queries.queries()[name](spark, sf_dir), duck(sf_dir),
+                      queries.oracle_sql()[name]) is None
+
+
+def test_exact_text_comes_back(spark):
+    df = frame(spark, [(t, "en") for t in (ODD_TEXTS + MARKED) * 5])
+    back = fim.transform(df).withColumn(
+        "back", fim.restored(F.col("output"), F.col("form")))
+    for row in back.collect():
+        assert row["back"] == (row["text"] or "")
+
+
+def test_units_are_kept_whole():
+    flat, parents, n = fim.units(pa.array(["ab, c\n", "", "é😀x"]))
+    assert [u.decode() for u in flat.to_pylist()] == ["ab", ",", " ", "c", "\n", "é", "😀", "x"]
+    assert parents.tolist() == [0, 0, 0, 0, 0, 2, 2, 2] and n.tolist() == [5, 0, 3]
+
+
+def test_odd_rows_and_columns(spark):
+    df = clashing(frame(spark, [("one two", "en"), (None, None), ("", "en")]))
+    df = df.select("*", F.lit("own").alias("output"), F.lit("own").alias("own h0"))
+    out = fim.transform(df)
+    assert out.columns == [c for c in df.columns if c != "output"] + [n for n, _ in fim.FIELDS]
+    assert out.count() == 3 and out.where("`own h0` <> 'own'").isEmpty()
+    unnamed = spark.createDataFrame([(None, "x y z"), (None, "x y z")], "doc_id long, text string")
+    first, second = (tuple(r) for r in fim.transform(unnamed).collect())
+    assert first == second
+    assert fim.transform(empty(spark)).count() == 0
+    assert fim.report(empty(spark)).count() == 0
+
+
+def test_very_long_text(spark):
+    df = frame(spark, [("word, " * 400_000, "en"), ("z" * 1_000_000, "en"), ("é" * 500_000, "en")])
+    assert made(df) == wanted(df)
+
+
+def test_report_on_files(spark, tmp_path):
+    df = frame(spark, [("a b c", "en"), (None, "en"), ("a b c", None)])
+    folder = save(tmp_path, spark, documents=df)
+    found = queries.op11_fill_in_middle(spark, folder).collect()
+    assert {r["restored_sha256"] for r in found} == {
+        hashlib.sha256(t.encode()).hexdigest() for t in ("a b c", "")}
