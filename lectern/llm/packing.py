@@ -15,6 +15,7 @@ Every round is written to the shared folder.  The driver sees one count for each
 
 from __future__ import annotations
 
+import json
 import math
 import os
 import re
@@ -35,11 +36,28 @@ EXCHANGE = 6
 LAST_FILL = 0.75
 
 #: What is neither ASCII nor a Latin-1 letter.
-UNUSUAL = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
-# Fixed value: the vocabulary's pre-tokens in lower-cased bytes, where bytes over 127 spell
-# letters only.
+UNUSUAL = "[^\x00-\x7fÀ-ÖØ-öø-ÿ]"
+# Pre-tokens in lower-cased bytes, where bytes over 127 spell letters only, and
+# the settings of a tokenizer file that has these pre-tokens.
 PRE_TOKEN = re.compile(
     rb"[a-z\x80-\xff]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\sa-z0-9\x80-\xff]+")
+NORMALIZERS = [{"type": "NFC"},
+               {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+               {"type": "Lowercase"}]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZERS = [{"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed",
+                   "invert": True},
+                  {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True,
+                   "use_regex": False}]
+
+
+def cuts_words(settings: dict) -> bool:
+    """Whether a tokenizer file's settings are those that ``PRE_TOKEN`` follows."""
+    return (
+        settings["normalizer"] == {"type": "Sequence", "normalizers": NORMALIZERS}
+        and settings["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS}
+        and settings["model"]["type"] == "BPE" and not settings["model"].get("dropout")
+        and not any(t["normalized"] for t in settings["added_tokens"]))
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
@@ -49,11 +67,13 @@ def public_tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """Token ids of a text as little-endian unsigned 32-bit integers.
+    """Token ids of a text as little-endian unsigned 32-bit integers, as the tokenizer file
+    gives them without special tokens around the text.
 
-    Texts of ASCII and Latin-1 letters are cut into pre-tokens here.  Pre-tokens met before
-    are looked up; the distinct new ones of a batch go to the vocabulary's merges together.
-    Any other text goes through the whole tokenizer.
+    Where the file's settings are known, texts of ASCII and Latin-1 letters are cut into
+    pre-tokens here.  Pre-tokens met before are looked up; the distinct new ones of a batch go
+    to the vocabulary's merges together.  Any other text, one that spells a special token, and
+    any text of another file goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, limit: int = 800_000):
@@ -61,7 +81,9 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        settings = json.loads(self.tokenizer.to_str())
+        special = [re.escape(t["content"]) for t in settings["added_tokens"]]
+        self.whole = re.compile("|".join([UNUSUAL, *special]) if cuts_words(settings) else "")
         self.merges = Tokenizer(self.tokenizer.model)
         self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         # byte-level vocabularies spell bytes without a visible character by ones from 256 on
@@ -87,7 +109,7 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        usual = [not UNUSUAL.search(t) for t in texts]
+        usual = [not self.whole.search(t) for t in texts]
         cut = [PRE_TOKEN.findall(t.lower().encode()) if u else []
                for t, u in zip(texts, usual, strict=True)]
         self.learn(cut)

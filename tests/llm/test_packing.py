@@ -1,8 +1,11 @@
+import functools
 import random
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from lectern.llm import packing as P, queries
 from lectern.llm.common import read
@@ -14,24 +17,50 @@ def encoder():
     return P.Encoder(P.public_tokenizer())
 
 
-def whole(encoder, text):
-    return encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
+@functools.cache
+def loaded(name):
+    """The tokenizer file by itself, as the library never touched it."""
+    return Tokenizer.from_file(P.public_tokenizer(name))
+
+
+def whole(text, name="word_bpe_49k.json"):
+    return loaded(name).encode(text or "", add_special_tokens=False).ids
 
 
 def test_ids_equal_the_tokenizers(encoder):
     rng = random.Random(2)
     parts = ["a", "B", "'", "s", "re", " ", "~", ",", ".", "!", "́", "é", "ß", "1", "½", "\n",
-             "\x1d", "\xa0", "Σ", "😀", "<|", "|>", "_", "-", "endoftext"]
-    texts = [*ODD_TEXTS, "don't STOP 's 'S o'clock", "ὈΔΥΣΣΕΎΣ", "x<|endoftext|>y"]
+             "\x1d", "\xa0", "Σ", "😀", "<|", "|>", "_", "-", "endoftext", "<|endoftext|>",
+             "<|startoftext|>", "<|endof", "text|>"]
+    texts = [*ODD_TEXTS, "hello <|endoftext|> world", "<|ENDOFTEXT|>", "<|<|endoftext|>|>", "don't STOP 's 'S o'clock", "ὈΔΥΣΣΕΎΣ", "x<|endoftext|>y"]
     texts += ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(2000)]
     for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == whole(encoder, text), text
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text), text
+
+
+def test_special_tokens_in_texts_are_the_files_own(encoder):
+    assert np.frombuffer(encoder.encode(["hello <|endoftext|> world"])[0], "<u4").tolist() \
+        == [3306, 49407, 1002]
+
+
+def test_another_vocabulary_gives_its_own_ids(spark):
+    rng = random.Random(6)
+    name = "byte_bpe_50k.json"
+    texts = [*ODD_TEXTS, "Two  Words, it's\n12 <|endoftext|>",
+             *[prose(rng, lang, 40) for lang in ("en", "de") * 5]]
+    other = P.Encoder(P.public_tokenizer(name))
+    for text, ids in zip(texts, other.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole(text, name), text
+    pieces = P.tokenise(frame(spark, [(t, "en") for t in texts]), P.public_tokenizer(name))
+    sizes = {r["doc_id"]: r["n"] for r in pieces.groupBy("doc_id").agg(
+        F.sum("length").alias("n")).collect()}
+    assert sizes == {i: len(whole(t, name)) + 1 for i, t in enumerate(texts)}
 
 
 def test_a_full_cache_is_emptied():
     small = P.Encoder(P.public_tokenizer(), limit=5)
     for text in ("one two three", "four five six", "one seven"):
-        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == whole(small, text)
+        assert np.frombuffer(small.encode([text])[0], "<u4").tolist() == whole(text)
     assert len(small.known) <= 5
 
 
@@ -96,7 +125,7 @@ def test_pieces_and_sequences(spark, tmp_path, encoder):
             (r["piece"], r["start"], r["length"], r["ids_crc32"]))
     lengths = []
     for i, text in enumerate(texts):
-        ids = [*whole(encoder, text), 0]
+        ids = [*whole(text), 0]
         want = [(k, a, len(ids[a:a + 2048]), zlib.crc32(np.array(ids[a:a + 2048], "<u4").tobytes()))
                 for k, a in enumerate(range(0, len(ids), 2048))]
         assert sorted(got[i]) == want
