@@ -7,27 +7,31 @@ exact piece, and Myers' bit-parallel distance verifies the item around it.  Veri
 climbs a tree over the pieces: where m neighbouring pieces hold fewer than m edits, so does
 one half of them for its size, hence a chance hit mostly ends at its nearest neighbour.
 
-The items travel to the tasks in blocks of bounded size; documents are read in place and
-nothing is shuffled.
+The items travel to the tasks in blocks of bounded size, one after the other; hits are stored
+before the next block, so driver and tasks hold one block at a time.  Documents are read in
+place and nothing is shuffled.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lectern.llm.common import col, with_python
+from lectern.llm.common import col, stored, with_python
 
 #: Edits allowed for each character of an item.
 RATE = 0.1
 #: Characters of items that one pass over the documents looks for.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 2 << 20
 
 WORD = re.compile(r"\S+")
 
+#: Items by id and normal text.
+Block = list[tuple[int | None, str]]
+
 HIT = T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType()),
     T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
@@ -98,7 +102,7 @@ def best_end(masks: dict[str, int], length: int, text: str, anchored: bool = Fal
 class Item:
     """A test item with its pieces, their spans and lazily made masks."""
 
-    def __init__(self, text: str, ids: list[int]):
+    def __init__(self, text: str, ids: list[int | None]):
         self.text, self.ids, self.budget = text, ids, budget(text)
         self.pieces = pieces(text)
         self.above = spans_above(len(self.pieces))
@@ -138,11 +142,12 @@ class Item:
 class Matcher:
     """Finds items in texts; items of equal normal text are looked for once."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        by_text: dict[str, list[int]] = {}
+    def __init__(self, items: Block):
+        by_text: dict[str, list[int | None]] = {}
         for item_id, text in items:
             by_text.setdefault(text, []).append(item_id)
-        self.items = [Item(text, sorted(ids)) for text, ids in sorted(by_text.items()) if text]
+        self.items = [Item(text, sorted(ids, key=id_order))
+                      for text, ids in sorted(by_text.items()) if text]
         self.automaton = ahocorasick.Automaton()
         found: dict[str, list[tuple[int, int, int]]] = {}
         for i, item in enumerate(self.items):
@@ -154,7 +159,7 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not found
 
-    def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def find(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item id, distance, start, end) of each item's closest occurrence in the text.
 
         Start and end are code points of the text as it is, end exclusive.
@@ -178,8 +183,14 @@ class Matcher:
         if not best:
             return []
         place = original_places(text)
-        return sorted((item_id, d, place(a), place(b - 1) + 1) for i, (d, a, b) in best.items()
-                      for item_id in self.items[i].ids)
+        found = [(item_id, d, place(a), place(b - 1) + 1) for i, (d, a, b) in best.items()
+                 for item_id in self.items[i].ids]
+        return sorted(found, key=lambda hit: (*id_order(hit[0]), *hit[1:]))
+
+
+def id_order(item_id: int | None) -> tuple[bool, int]:
+    """Null ids come last."""
+    return item_id is None, item_id or 0
 
 
 def original_places(text: str) -> Callable[[int], int]:
@@ -199,44 +210,52 @@ def original_places(text: str) -> Callable[[int], int]:
     return place
 
 
-def blocks_of(items: DataFrame, item_id: str = "item_id", text: str = "text"
-              ) -> list[list[tuple[int, str]]]:
-    """Normal texts of all items in blocks of about BLOCK_CHARS characters, read one by one."""
-    chars = items.agg(F.sum(F.length(col(text)))).first()[0] or 0
+def blocks_of(items: DataFrame, item_id: str = "item_id", text: str = "text") -> Iterator[Block]:
+    """Ids and normal texts of all items in blocks of about BLOCK_CHARS characters, read one by
+    one.  Blocks are dealt by text, so neither a repeated nor a null id weighs on one."""
+    kept = items.select(col(item_id).cast("long").alias("item_id"), col(text).alias("text")) \
+        .where("text is not null").distinct()
+    kept = stored(kept.withColumn("deal", F.xxhash64("text")), "items")
+    chars = kept.agg(F.sum(F.length("text"))).first()[0] or 0
     n = chars // BLOCK_CHARS + 1
     for i in range(n):
-        part = items.where(F.pmod(F.xxhash64(col(item_id)), F.lit(n)) == i)
-        yield [(r[0], normal(r[1])) for r in part.select(
-            col(item_id).cast("long"), col(text)).collect() if r[0] is not None]
+        part = kept.where(F.pmod("deal", F.lit(n)) == i).select("item_id", "text")
+        yield [(r["item_id"], normal(r["text"])) for r in part.toLocalIterator()]
 
 
 def find_items(docs: DataFrame, items: DataFrame, text: str = "text",
                keep: list[str] | None = None, out: str = "hits") -> DataFrame:
     """``keep`` (all columns) plus ``out``, the items found in each whole text; see HIT.
 
-    Items that are null or empty, or whose id is null, are found nowhere; repeated items are
-    found once for each row.  A null or empty text has no hits.
+    Items that are null or empty are found nowhere, those with a null id are found under it;
+    an item that repeats id and text is found once.  A null or empty text has no hits.
     """
     keep = [k for k in keep or docs.columns if k != out]
     found = docs.select(*[col(k).alias(f"kept {k}") for k in keep],
                         col(text).alias("searched"),
                         F.array().cast(T.ArrayType(HIT)).alias(out))
     names = [f"kept {k}" for k in keep]
-    for block in blocks_of(items):
+    for i, block in enumerate(blocks_of(items)):
+        if i:
+            found = stored(found, "items-found")
+        found = with_block(found, block, names, out)
+    return found.select(*[col(n).alias(k) for n, k in zip(names, keep, strict=True)], out)
 
-        def worker(block=block):
-            matcher = Matcher(block)
 
-            def work(texts, before):
-                return [[(b or []) + [dict(zip(HIT.names, h, strict=True))
-                                      for h in matcher.find(t)]
-                         for t, b in zip(texts, before, strict=True)]]
+def with_block(found: DataFrame, block: Block, names: list[str], out: str) -> DataFrame:
+    """found with the hits of one more block of items."""
+    def worker():
+        matcher = Matcher(block)
 
-            return work
+        def work(texts, before):
+            return [[(b or []) + [dict(zip(HIT.names, h, strict=True))
+                                  for h in matcher.find(t)]
+                     for t, b in zip(texts, before, strict=True)]]
 
-        found = with_python(found, [F.col("searched"), col(out)], [(out, T.ArrayType(HIT))],
-                            worker, [*names, "searched"])
-    return found.select(*[col(n).alias(k) for n, k in zip(names, keep, strict=True)], out)
+        return work
+
+    return with_python(found, [F.col("searched"), col(out)], [(out, T.ArrayType(HIT))],
+                       worker, [*names, "searched"])
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -95,6 +95,27 @@ def test_blocks_of_items_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, D.leaks(docs, table).collect())) == once and len(once) >= 20
 
 
+def test_items_without_an_id_are_found(spark):
+    rng = random.Random(10)
+    items = [(None, prose(rng, "en", 9)), (None, prose(rng, "en", 9)), (3, prose(rng, "en", 9))]
+    items += [items[0], items[2], (4, items[0][1])]  # rows that repeat, a text of two ids
+    docs = frame(spark, [(f"x {t} y", None) for _, t in items[:3]])
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in
+           D.leaks(docs, spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == {(0, None, 0), (0, 4, 0), (1, None, 0), (2, 3, 0)}
+
+
+def test_repeated_ids_do_not_fill_a_block(spark, monkeypatch):
+    rng = random.Random(11)
+    items = [(1, prose(rng, "en", 9)) for _ in range(60)]
+    table = spark.createDataFrame(items, ITEMS)
+    monkeypatch.setattr(D, "BLOCK_CHARS", 400)
+    sizes = [sum(len(t) for _, t in block) for block in D.blocks_of(table)]
+    assert sum(sizes) == sum(len(t) for _, t in items) and max(sizes) < 1500
+    found = D.leaks(frame(spark, [(t, None) for _, t in items[:5]]), table)
+    assert [r["item_id"] for r in found.where("distance = 0").collect()] == [1] * 5
+
+
 def test_long_text_and_items(spark):
     rng = random.Random(9)
     item = prose(rng, "en", 3000)
