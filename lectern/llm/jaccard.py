@@ -116,8 +116,13 @@ def counter_of(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    """With the id, what tells a row from those of other texts."""
+    return F.xxhash64(text)
+
+
 def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One row (doc_id, n, node) for each document, then (chunk, counts) of each task.
+    """One row (doc_id, text_key, n, node) for each document, then (chunk, counts) of each task.
 
     Counts of a task go up to 255, one byte each, and are compressed, as most are small.
     """
@@ -125,29 +130,30 @@ def digest(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_worker_state()
         counts = np.zeros(1 << COUNTER_BITS, np.int64)
-        schema = ["doc_id", "n", "node", "chunk", "counts"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        schema = ["doc_id", "text_key", "n", "node", "chunk", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
         def batch_of(*columns):
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], schema)
 
         for batch in batches:
-            ids, texts = (c.to_pylist() for c in batch.columns)
+            ids, keys, texts = (c.to_pylist() for c in batch.columns)
             sets = shingle_sets(texts)
             counts += np.bincount(counter_of(np.concatenate(sets)), minlength=len(counts))
             empty = [None] * len(ids)
-            yield batch_of(ids, [len(s) for s in sets],
+            yield batch_of(ids, keys, [len(s) for s in sets],
                            [node_of(s) if len(s) else None for s in sets], empty, empty)
         for chunk in range(1 << COUNTER_BITS - CHUNK_BITS):
             part = counts[chunk << CHUNK_BITS:(chunk + 1) << CHUNK_BITS]
             if part.any():
                 data = zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes(), 1)
-                yield batch_of([None], [None], [None], [chunk], [data])
+                yield batch_of([None], [None], [None], [None], [chunk], [data])
 
     bounded_batches(df.sparkSession)
-    return df.select(col(doc_id).cast("long").alias("doc_id"), col(text).alias("text")) \
-        .mapInArrow(run, "doc_id long, n long, node long, chunk int, counts binary")
+    return df.select(col(doc_id).cast("long").alias("doc_id"), text_key(col(text)).alias("key"),
+                     col(text).alias("text")).mapInArrow(
+        run, "doc_id long, text_key long, n long, node long, chunk int, counts binary")
 
 
 def shingle_counts(parts: DataFrame) -> np.ndarray:
@@ -459,15 +465,14 @@ def node_links(df: DataFrame, text: str, groups: DataFrame) -> DataFrame:
     return edges.unionByName(stored(more, "edges"))
 
 
-def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def classes(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text_key, n, label, component_id) of every row, whatever its id.
 
-    component_id is the least id that links reach.  A null or empty text has no shingles
-    and is its own component; of equal texts, and of repeated rows, all are in one.  A null
-    id counts only where its component has no other.  Other columns are not used.
+    Rows with one label are linked; a row without words has none.  component_id is the least
+    id among them, null only if none of them has an id.
     """
     digests = stored(digest(df, doc_id, text), "digests")
-    docs = digests.where("chunk is null").select("doc_id", "n", "node")
+    docs = digests.where("chunk is null").select("doc_id", "text_key", "n", "node")
     counts = shingle_counts(digests.where("chunk is not null").select("chunk", "counts"))
     sizes = docs.where("node is not null").groupBy("node").agg(F.first("n").alias("n"))
     groups = groups_of(block_entries(df, text, counts), sizes)
@@ -475,9 +480,20 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("first"))
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    ids = named.join(least, "label").select("node", "component_id")
-    return docs.where("node is not null").join(ids, "node") \
-        .select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
+    ids = named.join(least, "label").select("node", "label", "component_id")
+    found = ["doc_id", "text_key", "n", "label", "component_id"]
+    return docs.where("node is not null").join(ids, "node").select(*found) \
         .unionByName(docs.where("node is null").select(
-            "doc_id", F.lit(0).cast("long").alias("n_shingles"),
-            F.col("doc_id").alias("component_id")))
+            "doc_id", "text_key", "n", F.lit(None).cast("long").alias("label"),
+            F.col("doc_id").alias("component_id")).select(*found))
+
+
+def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
+
+    component_id is the least id that links reach.  A null or empty text has no shingles
+    and is its own component; of equal texts, and of repeated rows, all are in one.  A null
+    id counts only where its component has no other.  Other columns are not used.
+    """
+    return classes(df, doc_id, text).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id")
