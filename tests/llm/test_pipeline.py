@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline as C
@@ -35,10 +36,10 @@ def brute(docs, items, keeps_language):
 
 
 def pieces(docs):
-    encoder = packing.Encoder(packing.public_tokenizer())
+    tokenizer = Tokenizer.from_file(packing.public_tokenizer())
     out = set()
     for i, text in docs.items():
-        ids = [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
         out |= {(i, k, a, len(ids[a:a + 2048]),
                  zlib.crc32(np.array(ids[a:a + 2048], "<u4").tobytes()))
                 for k, a in enumerate(range(0, len(ids), 2048))}
@@ -127,9 +128,27 @@ def test_repeated_rows_leave_one(spark, tmp_path):
     assert sorted(r["doc_id"] for r in C.run(spark, sf).collect()) == [0, 1]
 
 
+def test_near_copies_go_whatever_their_ids(spark, tmp_path):
+    rng = random.Random(14)
+    a, b, c, d = (prose(rng, "en", 40) for _ in range(4))
+    rows = [(2, a), (5, b), (5, a + " more"), (None, b + " more"), (None, c), (None, c + " more"),
+            (None, "more " + c), (7, d), (7, d), (7, d + " more"), (None, ""), (None, None),
+            (3, None), (3, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS).repartition(3)
+    kept = C.ngram_jaccard_join(spark, docs, str(tmp_path)).collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in kept), key=repr)
+    texts_of_none = [t for i, t in got if i is None and t]
+    assert len(texts_of_none) == 1 and c in texts_of_none[0]
+    named = [(i, t) for i, t in got if i in (2, 5, 7)]
+    assert len(named) == 3 and (2, a) in named and (5, b) in named
+    assert [t for i, t in named if i == 7][0] in (d, d + " more")
+    assert [(i, t) for i, t in got if not t] == sorted(
+        [(3, None), (None, ""), (None, None)], key=repr)
+
+
 def test_every_operator_and_the_pipeline_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
     assert set(queries.oracle_sql()) <= set(names)
     assert [n for n, _ in C.STAGES] == [
