@@ -120,8 +120,8 @@ def packed(values: np.ndarray) -> bytes:
 
 def unpacked(data: bytes, n: int) -> np.ndarray:
     planes = np.zeros((8, n), np.uint8)
-    read = np.frombuffer(data, np.uint8).reshape(-1, n)
-    planes[:len(read)] = read
+    read = np.frombuffer(data, np.uint8)
+    planes.reshape(-1)[:len(read)] = read
     return np.ascontiguousarray(planes.T).view("<u8").reshape(n)
 
 
