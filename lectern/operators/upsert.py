@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 class DuplicateKeyError(ValueError):
@@ -72,15 +72,30 @@ def require_unique(df: DataFrame, key: Sequence[str]) -> None:
         raise DuplicateKeyError(f"merge source repeats key {sample[0].asDict()}")
 
 
-def merge(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
+def merge(
+    target: DataFrame, source: DataFrame, key: Sequence[str], told: Observation | None = None
+) -> DataFrame:
     """Target after an upsert: matched rows replaced, other source rows added.
 
-    Rows with a NULL in the key match nothing.
+    Each side is read once, and the source may hold a key once only.  Rows with a NULL in the
+    key match nothing.  ``told`` learns, while the rows are written, how many were inserted,
+    updated and left unchanged.
     """
-    names = target.columns
-    source_keys = source.where(keys_present(key)).select(*key, F.lit(-1).cast("long").alias(APART))
-    untouched = set_apart(target, key).join(source_keys, [*key, APART], "left_anti")
-    return untouched.select(*names).unionByName(source.select(*names))
+    names, mark = target.columns, "_side"
+    old = set_apart(target, key).withColumn(mark, F.lit(1))
+    # negative numbers, so that rows without a key never meet
+    new = set_apart(source.select(*names), key).withColumn(mark, F.lit(2)).withColumn(
+        APART, F.when(F.col(APART) < 0, F.col(APART)).otherwise(-2 - F.col(APART)))
+    kept, came = F.col(f"old.{mark}"), F.col(f"new.{mark}")
+    same = reduce(and_, [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in (*key, APART)])
+    joined = old.alias("old").join(new.alias("new"), same, "full_outer")
+    if told:
+        joined = joined.observe(
+            told, F.count_if(kept.isNull()).alias("inserted"),
+            F.count_if(kept.isNotNull() & came.isNotNull()).alias("updated"),
+            F.count_if(came.isNull()).alias("unchanged"))
+    return joined.select(*[F.when(came.isNotNull(), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
+               for c in names])
 
 
 def merge_into(source: DataFrame, table: str, key: Sequence[str]) -> None:

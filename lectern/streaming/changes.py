@@ -20,7 +20,7 @@ def apply_changes(table: SnapshotTable, batch: DataFrame, version: list[str]) ->
     """
     key = list(table.spec.key)
     newest = latest_per_key(batch, key, version)
-    held = table.read_near(batch).select(*key, F.struct(*version).alias("_held"))
+    held = table.read_parts(table.parts_of(batch)).select(*key, F.struct(*version).alias("_held"))
     due = (
         newest.join(held, key, "left")
         .where(F.col("_held").isNull() | (F.struct(*version) >= F.col("_held")))

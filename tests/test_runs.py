@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 from lectern import jobs
 from lectern.operators import serving
 from lectern.plans import marts, pipelines
-from lectern.plans.pipelines import Lake
+from lectern.plans.pipelines import Lake, land_files
 from lectern.sources import landing
 from lectern.sources.snapshots import SnapshotTable
 from lectern.specs import COHORT_FILES, TABLES, WAREHOUSE_TABLES
 from lectern.plans.registry import USER_STATE
+from lectern.streaming import land as streaming_land
 from lectern.streaming.changes import apply_changes, live_rows, start_upserts
-from lectern.streaming.land import WAITING, start_landing
+from lectern.streaming.land import start_landing
 from tests.tables import one_course_school, only, rows
 
 NOW = dt.datetime(2024, 3, 1, 12, 0, 0, tzinfo=dt.timezone.utc)
@@ -309,14 +311,93 @@ def test_children_wait_for_their_parents(spark, tmp_path):
 
     (folder / "program_semester_1.csv").write_text("program_semester_id,program_id\nP_1,P\n")
     run()
-    waiting = SnapshotTable(spark, f"{lake.base}/waiting", WAITING)
-    assert "P is not in program" in only(waiting.read())["reason"]
+    waiting = lake.parked("program_semester")
+    assert only(waiting.read())["program_id"] == "P"
     (folder / "program_1.csv").write_text("program_id,class_of\nP,x\n")
     run()
     assert only(lake.source("program_semester").read())["program_id"] == "P"
     assert waiting.read().isEmpty()
 
 
+def test_each_file_is_parsed_once_however_long_its_rows_wait(spark, tmp_path, monkeypatch):
+    """Rows without parents land with the batch that brings them, whatever came between."""
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    parsed = []
+    read = landing.read_with_problems
+
+    def counted(spark, paths, *more):
+        parsed.extend(p.rsplit("/", 1)[1] for p in paths)
+        return read(spark, paths, *more)
+
+    monkeypatch.setattr(landing, "read_with_problems", counted)
+
+    def run(name, text):
+        (folder / name).write_text(text)
+        start_landing(lake, str(folder), str(tmp_path / "cp"), max_files=1,
+                      now=NOW).awaitTermination()
+
+    def landed():
+        return {r[0] for r in lake.source("program_semester").read()
+                .select("program_semester_id").collect()}
+
+    def parked():
+        return {r[0] for r in lake.parked("program_semester").read()
+                .select("program_semester_id").collect()}
+
+    header = "program_semester_id,program_id\n"
+    run("program_semester_1.csv", header + "P_1,P\nQ_1,Q\nN_1,\n")
+    assert (landed(), parked()) == ({"N_1"}, {"P_1", "Q_1"})
+    run("program_semester_2.csv", header + "P_2,P\nR_1,R\n")
+    assert (landed(), parked()) == ({"N_1"}, {"P_1", "Q_1", "P_2", "R_1"})
+    run("program_1.csv", "program_id,class_of\nP,x\n")
+    assert (landed(), parked()) == ({"N_1", "P_1", "P_2"}, {"Q_1", "R_1"})
+    run("class_1.csv", "class_id,class_name\n1,x\n")
+    run("program_2.csv", "program_id,class_of\nR,x\nQ,y\n")
+    assert (landed(), parked()) == ({"N_1", "P_1", "P_2", "Q_1", "R_1"}, set())
+    assert len(parsed) == len(set(parsed)) == 5
+    assert not Path(f"{lake.base}/rejected").exists()
+
+
+def test_parked_rows_land_when_a_bulk_load_brings_their_parents(spark, tmp_path):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+
+    def run():
+        start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+
+    (folder / "program_semester.csv").write_text("program_semester_id,program_id\nP_1,P\n")
+    run()
+    (tmp_path / "program.csv").write_text("program_id,class_of\nP,x\n")
+    land_files(lake, "program", str(tmp_path / "program.csv"), NOW)
+    (folder / "class.csv").write_text("class_id,class_name\n1,x\n")
+    run()
+    assert only(lake.source("program_semester").read())["program_id"] == "P"
+    assert lake.parked("program_semester").read().isEmpty()
+
+
+def test_a_repeated_batch_lands_and_parks_nothing_twice(spark, tmp_path, monkeypatch):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    (folder / "program.csv").write_text("program_id,class_of\nP,x\n")
+    (folder / "program_semester.csv").write_text(
+        "program_semester_id,program_id\nP_1,P\nQ_1,Q\nQ_1,Q\n")
+    real = streaming_land.land_rows
+
+    def fails_late(*given):
+        real(*given)
+        raise OSError("storage is gone")
+
+    monkeypatch.setattr(streaming_land, "land_rows", fails_late)
+    with pytest.raises(Exception, match="storage is gone"):
+        start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+    monkeypatch.undo()
+    start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
+    assert lake.source("program").read().count() == 1
+    assert only(lake.source("program_semester").read())["program_semester_id"] == "P_1"
+    assert lake.parked("program_semester").read().count() == 2
+
+
 def test_a_bad_file_falls_alone(spark, tmp_path):
     folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
     folder.mkdir()
@@ -345,7 +426,7 @@ def test_trouble_that_is_no_files_fault_ends_the_batch(spark, tmp_path, monkeypa
     def lost(*_):
         raise OSError("storage is gone")
 
-    monkeypatch.setattr("lectern.streaming.land.land_files", lost)
+    monkeypatch.setattr("lectern.streaming.land.land_rows", lost)
     with pytest.raises(Exception, match="storage is gone"):
         start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW).awaitTermination()
     monkeypatch.undo()

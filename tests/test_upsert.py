@@ -8,6 +8,7 @@ from pyspark.errors import SparkRuntimeException, UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from lectern.operators import upsert
+from lectern.sources import snapshots
 from lectern.sources.snapshots import SnapshotTable, VersionConflict
 from lectern.specs import TABLES, TableSpec
 from tests.tables import frame, only, rows
@@ -92,36 +93,75 @@ def test_empty_batch_makes_no_version(spark, lake_dir):
 
 def written(table, version):
     """Rows in the folders that a version has and the one before lacks."""
-    now, before = table._manifest(version), table._manifest(version - 1)
-    names = [f for kind in ("base", "changes") for f in now[kind]
-             if f not in before["base"] + before["changes"]]
-    return sum(table._folders([n], now).count() for n in names)
-
-
-def test_a_merge_writes_its_batch_only(spark, lake_dir):
-    """Twenty rows spread over four thousand: neighbours are not written again."""
+    now, before = table._pointer(version)[1], table._pointer(version - 1)[1]
+    held = {a for attempts in before["parts"].values() for a in attempts}
+    new = {p: [a for a in attempts if a not in held] for p, attempts in now["parts"].items()}
+    return table._rows({"parts": new}, [p for p, attempts in new.items() if attempts]).count()
+
+
+def parts(table):
+    return {int(p): len(a) for p, a in table._pointer()[1]["parts"].items()}
+
+
+def test_a_merge_reads_and_writes_only_the_parts_of_its_keys(spark, lake_dir):
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table.upsert(kv(spark, *[(i, "old") for i in range(-20, 160)]))
+    assert set(parts(table)) == set(range(-2, 10))
+    counts = table.upsert(kv(spark, (17, "new"), (18, "new"), (-1, "new"), (500, "new")))
+    assert counts == {"inserted": 1, "updated": 3, "unchanged": 177, "total": 181}
+    assert written(table, 2) == 33  # parts -1 and 1 with 16 rows each, and the new one
+    assert table.read().count() == 181
+    held = table.read_between(20, 30)
+    assert [r["k"] for r in held.orderBy("k").collect()] == list(range(20, 31))
+    assert {f.split("part=")[1].split("/")[0] for f in held.inputFiles()} == {"1"}
+    assert "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,20)" in \
+        held._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reading_after_many_merges_costs_what_it_costs_after_one(spark, lake_dir):
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table.upsert(kv(spark, *[(i, "0") for i in range(64)]))
+    first = table.read()
+    for step in range(1, 13):
+        table.upsert(kv(spark, *[(k % 64, str(step)) for k in range(step, step + 5)]))
+    last = table.read()
+    assert set(parts(table).values()) == {1}
+    assert len(last.inputFiles()) <= len(first.inputFiles())
+    plan = last._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan and "Aggregate" not in plan
+    want = {i: "0" for i in range(64)}
+    for step in range(1, 13):
+        want |= {k % 64: str(step) for k in range(step, step + 5)}
+    assert dict(pairs(last)) == want
+
+
+def test_text_keys_are_dealt_over_parts(spark, lake_dir):
+    spec = TableSpec("t", "dim", (("k", "STRING"), ("v", "STRING")), ("k",))
+    table = SnapshotTable(spark, lake_dir, spec)
+    schema = "k string, v string"
+    table.upsert(spark.createDataFrame([(str(i), "a") for i in range(200)], schema))
+    assert len(parts(table)) == snapshots.TEXT_PARTS
+    counts = table.upsert(spark.createDataFrame([("7", "b"), ("x", "b")], schema))
+    assert (counts["inserted"], counts["updated"], counts["total"]) == (1, 1, 201)
+    assert written(table, 2) < 60
+    assert table.read().where("v = 'b'").count() == 2
+
+
+def test_appended_rows_stand_beside_those_of_their_part(spark, lake_dir):
     table = SnapshotTable(spark, lake_dir, SPEC)
-    table.upsert(kv(spark, *[(i * KEY_BLOCK, "old") for i in range(4000)]))
-    counts = table.upsert(kv(spark, *[(i * 200 * KEY_BLOCK, "new") for i in range(20)]))
-    assert (counts["inserted"], counts["updated"]) == (0, 20)
-    assert written(table, 2) == 20
-    assert table.read().where("v = 'old'").count() == 3980
-    assert table.read().count() == 4000
+    for i in range(3):
+        table.append(kv(spark, (i, "a")))
+    assert parts(table) == {0: 3}
+    table.upsert(kv(spark, (1, "b"), (9, "n")))
+    assert parts(table) == {0: 1}
+    assert pairs(table.read()) == [(0, "a"), (1, "b"), (2, "a"), (9, "n")]
 
 
-def test_new_keys_are_added_to_the_base(spark, lake_dir):
+def test_counts_are_taken_as_the_rows_are_written(spark, lake_dir):
     table = SnapshotTable(spark, lake_dir, SPEC)
-    for i in range(3):
-        table.upsert(kv(spark, (i, "a")))
-    assert (len(table._manifest()["base"]), table._manifest()["changes"]) == (3, [])
-    table.upsert(kv(spark, (1, "b"), (9, "n")))
-    table.upsert(kv(spark, (1, "c"), (9, "m")))
-    assert len(table._manifest()["changes"]) == 2
-    want = [(0, "a"), (1, "c"), (2, "a"), (9, "m")]
-    assert pairs(table.read()) == want
-    table.compact()
-    assert len(table._manifest()["base"]) == 1 and not table._manifest()["changes"]
-    assert pairs(table.read()) == want
+    table.upsert(kv(spark, (1, "a"), (None, "x")))
+    counts = table.upsert(kv(spark, (1, "b"), (2, "c"), (None, "y"), (None, "y")))
+    assert counts == {"inserted": 3, "updated": 1, "unchanged": 1, "total": 5}
 
 
 def test_rows_without_a_key_stay(spark, lake_dir):
@@ -145,8 +185,8 @@ def test_an_unfinished_version_is_ignored(spark, lake_dir):
     table = SnapshotTable(spark, lake_dir, SPEC)
     table.upsert(kv(spark, (1, "a")))
     kv(spark, (2, "junk")).write.parquet(f"{lake_dir}/data/broken")
-    with open(f"{lake_dir}/manifest/v=2.json", "w") as half:
-        half.write('{"base": [')
+    with open(f"{lake_dir}/pointer/v=2.json", "w") as half:
+        half.write('{"parts": {')
     assert pairs(table.read()) == [(1, "a")] and table.versions() == [1]
     table.upsert(kv(spark, (3, "c")))
     assert pairs(table.read()) == [(1, "a"), (3, "c")] and table.versions() == [1, 3]
@@ -156,11 +196,11 @@ def test_the_loser_of_two_writers_harms_nothing(spark, lake_dir):
     """Both begin from version 1; the second to commit raises, the first one's rows stay."""
     one, two = (SnapshotTable(spark, lake_dir, SPEC) for _ in range(2))
     one.upsert(kv(spark, (1, "a")))
-    seen, manifest = two._last(), two._manifest()
+    seen, _ = two._pointer()
     mine = two._write(kv(spark, (3, "loser")))
     one.upsert(kv(spark, (1, "b"), (2, "winner")))
     with pytest.raises(VersionConflict, match="written by another run"):
-        two._commit(seen, manifest | {"base": [*manifest["base"], mine]})
+        two._commit(seen, {"parts": mine})
     for table in (one, two):
         assert pairs(table.read()) == [(1, "b"), (2, "winner")]
     two.upsert(kv(spark, (3, "again")))
