@@ -168,7 +168,7 @@ def land_rows(
         new = rows_to_insert(
             target.read_between(*ranges[spec.key[0]]), ready, spec.key, [ARRIVAL],
             F.lit(now).cast("timestamp"))
-        target.append(new)
+        target.append(new, ranges[spec.key[0]])
         # rows leave the parked table only now that they have landed; those not tried stay,
         # and a repeated batch parks nothing twice
         keep = [df for df in (waiting, None if due else held) if df is not None]

@@ -135,6 +135,25 @@ def test_reading_after_many_merges_costs_what_it_costs_after_one(spark, lake_dir
     assert dict(pairs(last)) == want
 
 
+def test_sparse_keys_get_wider_parts(spark, lake_dir):
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table.upsert(kv(spark, *[(i, "a") for i in range(40)]))
+    assert set(parts(table)) == {0, 1, 2}
+    far = [(i << 40, "b") for i in range(-300, 300)]
+    counts = table.upsert(kv(spark, *far))
+    assert (counts["inserted"], counts["updated"], counts["total"]) == (599, 1, 639)
+    assert len(parts(table)) <= 2 * snapshots.MOST_PARTS
+    want = {i: "a" for i in range(40)} | dict(far)
+    assert dict(pairs(table.read())) == want
+    table.append(kv(spark, (7 << 50, "c")))
+    assert dict(pairs(table.read())) == want | {7 << 50: "c"}
+    assert len(parts(table)) <= 2 * snapshots.MOST_PARTS
+    low = 5 << 40
+    assert pairs(table.read_between(low, low + 1)) == [(low, "b")]
+    assert table.upsert(kv(spark, (low, "d")))["updated"] == 1
+    assert written(table, 4) < 300  # of 640 rows
+
+
 def test_text_keys_are_dealt_over_parts(spark, lake_dir):
     spec = TableSpec("t", "dim", (("k", "STRING"), ("v", "STRING")), ("k",))
     table = SnapshotTable(spark, lake_dir, spec)
@@ -197,7 +216,7 @@ def test_the_loser_of_two_writers_harms_nothing(spark, lake_dir):
     one, two = (SnapshotTable(spark, lake_dir, SPEC) for _ in range(2))
     one.upsert(kv(spark, (1, "a")))
     seen, _ = two._pointer()
-    mine = two._write(kv(spark, (3, "loser")))
+    mine = two._write(kv(spark, (3, "loser")), 22)
     one.upsert(kv(spark, (1, "b"), (2, "winner")))
     with pytest.raises(VersionConflict, match="written by another run"):
         two._commit(seen, {"parts": mine})
