@@ -407,7 +407,7 @@ def ranked(found: DataFrame, top: int = TOP) -> DataFrame:
         window = Window.partitionBy("lang", salt).orderBy(*order)
         found = found.withColumn("rank", F.row_number().over(window)) \
             .where(F.col("rank") <= top).drop("rank")
-        groups //= 64
+        groups //= 8
     window = Window.partitionBy("lang").orderBy(*order)
     return found.withColumn("rank", F.row_number().over(window).cast("long")) \
         .where(F.col("rank") <= top)
