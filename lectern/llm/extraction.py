@@ -1,19 +1,19 @@
 """HTML extraction by removing each site's recurring template.
 
-1. Every page is parsed into an element tree.  What is read of it are its articles, without
-   one its body, less the elements that are furniture by name or role.  Every container in
-   that part, and every paragraph, list, table or span that stands on its own there, is
-   hashed with all below it; Spark counts on how many different texts of a host each hash
-   occurs, so copies of a page count once.
-2. Subtrees that recur are the site's template and are deleted.  A container is template
-   from a few texts on.  Prose is template if it stands on many at one place, and mostly at
-   that place: a sentence may well stand in many articles, but then here and there.  The
-   same number is asked of a container that holds most of its page's text, and a page is
-   not emptied of all its prose.
-3. What remains is read block by block.
-
-Pages are parsed on their own.  Only hashes are shuffled, and the pages on which a template
-stands, to meet it.
+1. Every page is parsed into an element tree.  Its subtrees are hashed with all below them,
+   menus, adverts and footers as well as what stands in articles, and Spark counts on how many
+   different texts of a host each hash occurs, so copies of a page count once.
+2. Subtrees that recur are the site's template and are deleted.  A container outside articles
+   is template from a few texts on.  Inside an article, containers and prose are template if
+   they stand on many texts at one place, and mostly at that place: a sentence or a quote may
+   well stand in many articles, but then here and there.  The same number is asked of a
+   container that holds most of its page's text, and a page is not emptied of all its prose.
+3. Of what remains the articles are read, without one the body, less the elements that are
+   furniture by name or role: names decide where a site shows too few pages to tell.  Text is
+   read block by block.
+
+Pages are parsed on their own.  Only hashes are shuffled, unless the templates of all hosts are
+too many to be sent to every task: then the pages on which one stands are shuffled to meet it.
 """
 
 from __future__ import annotations
@@ -22,16 +22,23 @@ import hashlib
 import html as entities
 import re
 import zlib
+from collections import Counter
+from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from lectern.llm.common import col, flat_python, key_filter, stored, with_python
+from lectern.llm.common import col, flat_python, key_filter, mix, stored, with_python
 
 #: A container is template from so many different texts of its host on.  No share of the
 #: host's pages is asked, so the rule is the same on hosts of any size.
-LEAST_PAGES, LEAST_SHARE = 3, 0.0
-#: Prose, and a container with most of its page's text, is template from so many on.
+LEAST_PAGES = 3
+#: What stands in an article, and a container with most of its page's text, from so many on.
 LEAST_PROSE = 50
+#: Template subtrees, of eight bytes each, that are sent to every task; beyond that the pages
+#: are shuffled to them.
+MOST_SHARED = 1 << 22
 
 # Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,6 +46,8 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 FURNITURE = frozenset(
     "script style noscript template head title nav footer aside form button select option "
     "textarea iframe svg canvas dialog menu object embed audio video xmp noembed noframes".split())
+#: Elements whose content is no text of the page.
+UNSEEN = frozenset("script style noscript template head title iframe svg object embed".split())
 BLOCKS = frozenset(
     "address article aside blockquote body br center dd details div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary "
@@ -65,10 +74,18 @@ CLOSED_BY = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 NOT_IN_P = BLOCKS - {"br"}
-
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.DOTALL)
+#: By element that starts: names of the open element that it ends, and names that shield it.
+LISTS = {"ul", "ol", "dl", "table", "select", "#root"}
+ENDS = {"p": ({"p"}, BLOCKS - {"p"})} | {
+    name: (names, {"tr", "table", "#root"} if name == "td" else LISTS)
+    for name, names in CLOSED_BY.items()}
+#: The rules of ENDS that look at an element of a name.
+WATCHED = {name: [rule for rule, (names, stop) in ENDS.items() if name in names | stop]
+           for name in BLOCKS | LISTS | set(CLOSED_BY)}
+
+#: What ends a tag, or opens a value in which it does not end.
+TAG_END = re.compile(r"""=\s*(["'])|>""")
+TAG_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
 #: One attribute with its whole value; read one after another from the start of the tag.
 ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 MARK_SPLIT = re.compile(r"[^a-z0-9]+")
@@ -104,58 +121,132 @@ def marks_of(attributes: str) -> tuple[str, ...]:
     return tuple(found)
 
 
+class OpenElements:
+    """The open elements, innermost last, with what tells the nearest of some at once.
+
+    Every lookup is constant or ends elements, so that a page of any form takes linear time.
+    """
+
+    def __init__(self, root: Element):
+        self.stack, self.open = [root], Counter([root.name])
+        self.watched: dict[str, list[int]] = {rule: [] for rule in ENDS}
+
+    def push(self, element: Element) -> None:
+        for rule in WATCHED.get(element.name, ()):
+            self.watched[rule].append(len(self.stack))
+        self.stack.append(element)
+        self.open[element.name] += 1
+
+    def pop(self) -> str:
+        name = self.stack.pop().name
+        self.open[name] -= 1
+        for rule in WATCHED.get(name, ()):
+            self.watched[rule].pop()
+        return name
+
+    def close(self, name: str) -> None:
+        """End the nearest open element of a name, if there is one."""
+        if self.open[name] and name != "#root":
+            while self.pop() != name:
+                pass
+
+    def make_way(self, rule: str) -> None:
+        """End the nearest element that the rule ends, unless a shielding one is nearer."""
+        at = self.watched[rule]
+        if at and self.stack[at[-1]].name in ENDS[rule][0]:
+            self.close(self.stack[at[-1]].name)
+
+
+class Scanner:
+    """Finds the ends of tags, comments and such; what is never closed is looked for once."""
+
+    def __init__(self, page: str):
+        self.page, self.missing = page, set()
+
+    def after(self, mark: str, at: int) -> int:
+        """The place after the next mark, or -1."""
+        if mark in self.missing:
+            return -1
+        found = self.page.find(mark, at)
+        if found < 0:
+            self.missing.add(mark)
+            return -1
+        return found + len(mark)
+
+    def tag_end(self, at: int) -> int:
+        """The place after a tag's end; quoted values that are closed may hold a ``>``."""
+        start = at
+        while "values" not in self.missing:
+            found = TAG_END.search(self.page, at)
+            if not found:
+                self.missing.add("values")  # quotes do not pair up on this page
+                break
+            at = found.end()
+            if not found[1]:
+                return at
+            at = max(at, self.after(found[1], at))
+        return self.after(">", start)
+
+    def special_end(self, at: int) -> int:
+        """The place after a comment or declaration that begins at ``<!`` or ``<?``."""
+        if self.page.startswith("<!--", at):
+            end = self.after("-->", at + 4)
+            return end if end >= 0 else len(self.page)
+        if self.page.startswith("<![CDATA[", at):
+            end = self.after("]]>", at)
+            if end >= 0:
+                return end
+        return self.after(">", at)
+
+
 def parse(page: str) -> Element:
-    """Element tree of any page; what is left open is closed where its parent ends."""
+    """Element tree of any page, in time linear in its length; what is left open is closed
+    where its parent ends."""
     root = Element("#root")
-    stack = [root]
-    at, end = 0, len(page)
-    while at < end:
-        found = TOKEN.search(page, at)
-        if not found:
-            stack[-1].children.append(page[at:])
+    elements, scanner = OpenElements(root), Scanner(page)
+    text, at, end = 0, 0, len(page)  # where text not yet kept begins
+    while True:
+        start = page.find("<", at)
+        if start < 0:
+            break
+        after, tag = start + 1, TAG_NAME.match(page, start + 1)
+        if not tag and page[after:after + 1] not in ("!", "?"):
+            at = after
+            continue
+        past = scanner.tag_end(tag.end()) if tag else scanner.special_end(start)
+        if past < 0:  # nothing ends from here on, but a comment takes the rest
+            comment = page.find("<!--", start)
+            end = comment if comment >= 0 else end
             break
-        if found.start() > at:
-            stack[-1].children.append(page[at:found.start()])
-        at = found.end()
-        closing, name = found[1], (found[2] or "").lower()
-        if not name:
+        if start > text:
+            elements.stack[-1].children.append(page[text:start])
+        text = at = past
+        if not tag:
             continue
+        closing, name = tag[1], tag[2].lower()
         if closing:
-            if name == "p" and all(e.name != "p" for e in stack):
-                continue
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
+            elements.close(name)
             continue
         if name in NOT_IN_P:
-            close_through(stack, {"p"}, stop=BLOCKS - {"p"})
+            elements.make_way("p")
         if name in CLOSED_BY:
-            close_through(stack, CLOSED_BY[name], stop={"ul", "ol", "dl", "table", "select", "#root"}
-                          if name != "td" else {"tr", "table", "#root"})
-        element = Element(name, found[3] or "")
-        stack[-1].children.append(element)
-        if name in VOID or (found[3] or "").endswith("/"):
+            elements.make_way(name)
+        attributes = page[tag.end():past - 1]
+        element = Element(name, attributes)
+        elements.stack[-1].children.append(element)
+        if name in VOID or attributes.endswith("/"):
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             element.children.append(page[at:close.start()] if close else page[at:])
-            at = close.end() if close else end
+            text = at = close.end() if close else len(page)
             continue
-        stack.append(element)
+        elements.push(element)
+    if text < end:
+        elements.stack[-1].children.append(page[text:end])
     return root
 
 
-def close_through(stack: list[Element], names: set[str], stop) -> None:
-    """End the nearest open element of ``names`` unless one of ``stop`` is nearer."""
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].name in names:
-            del stack[i:]
-            return
-        if stack[i].name in stop:
-            return
-
-
 def starts_of(root: Element) -> list[Element]:
     """Topmost articles that do not lie in furniture, without one the whole page.
 
@@ -176,43 +267,64 @@ def starts_of(root: Element) -> list[Element]:
     return found or [root]
 
 
-def read_part(root: Element):
-    """Starts, and (element, parent, path, place) of all elements read, parents first.
+@dataclass
+class Part:
+    """An element with what stands above it.
 
-    The path is a hash of the names from the start; the place is one of the path and the
-    position below the parent, counted from the nearer end.
+    ``read`` is false for furniture and what lies outside of the articles.  The path is a hash
+    of the names from the start that is read; the place is one of the path and the position
+    below the parent, counted from the nearer end.
     """
+
+    element: Element
+    parent: Part | None
+    read: bool
+    path: int = 0
+    place: int = 0
+
+
+def parts_of(root: Element) -> tuple[list[Element], list[Part]]:
+    """Starts, and every element that can show text, parents first."""
     starts = starts_of(root)
-    found: list[tuple[Element, Element | None, int, int]] = []
-    stack = [(s, None, 0, 0) for s in reversed(starts)]
+    first, whole = {id(s) for s in starts}, starts[0] is root
+    found: list[Part] = []
+    stack = [Part(root, None, whole)]
     while stack:
-        entry = element, _, path, _ = stack.pop()
-        found.append(entry)
-        inside = element.name in ("article", "main") or starts[0] is not root
-        path = zlib.crc32(element.name.encode("utf-8", "replace"), path)
-        below = [c for c in element.children if not isinstance(c, str)]
+        part = stack.pop()
+        found.append(part)
+        path = zlib.crc32(part.element.name.encode("utf-8", "replace"), part.path)
+        below = [c for c in part.element.children if not isinstance(c, str)]
         for i in range(len(below) - 1, -1, -1):
             child, end = below[i], len(below) - 1 - i
-            if not child.furniture(inside):
+            if id(child) in first:
+                stack.append(Part(child, part, True))
+            elif part.read and not child.furniture(not whole or in_article(part)):
                 at = b"<%d" % i if i <= end else b">%d" % end
-                stack.append((child, element, path, zlib.crc32(at, path)))
+                stack.append(Part(child, part, True, path, zlib.crc32(at, path)))
+            elif child.name not in UNSEEN:
+                stack.append(Part(child, part, False))
     return starts, found
 
 
-#: Places of containers, without and with most of the page's text; those of prose are above.
+def in_article(part: Part) -> bool:
+    return part.element.name in ("article", "main")
+
+
+#: Places of containers, without and with most of the page's text; those of others are above.
 CONTAINER, HOLDER = 0, -1
 
 
 def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
     """id(element) -> (hash, place) of every subtree that may be deleted for recurring, and
     a hash of the text read."""
-    starts, found = read_part(root)
-    read = {id(entry[0]) for entry in found}
+    starts, found = parts_of(root)
+    known = {id(part.element): part for part in found}
     hashes: dict[int, int] = {}
     sizes: dict[int, int] = {}
     loose = set()
     body = hashlib.blake2b(digest_size=8)
-    for element, _, _, _ in reversed(found):  # children before parents
+    for part in reversed(found):  # children before parents
+        element = part.element
         digest, size = hashlib.blake2b(f"{element.name} {element.attributes.strip()}".encode(
             "utf-8", "replace"), digest_size=8), 0
         for child in element.children:
@@ -221,53 +333,74 @@ def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
                 if text:
                     piece = b"\0t" + text.encode("utf-8", "replace")
                     digest.update(piece)
-                    body.update(piece)
                     size += len(text)
                     loose.add(id(element))
-            elif id(child) in read:
+                    if part.read:
+                        body.update(piece)
+            elif id(child) in hashes and known[id(child)].read == part.read:
                 digest.update(b"\0e" + hashes[id(child)].to_bytes(8, "little", signed=True))
                 size += sizes[id(child)]
         hashes[id(element)] = int.from_bytes(digest.digest(), "little", signed=True)
         sizes[id(element)] = size
-    total = sum(sizes[id(s)] for s in starts)
+    total, whole = sum(sizes[id(s)] for s in starts), starts[0] is root
+    first = {id(s) for s in starts}
     chosen = {}
-    for element, parent, path, place in found:
-        name, size = element.name, sizes[id(element)]
-        if parent is None or not size or name in PAGE or name in ("article", "main"):
+    for part in found:
+        element, name, size = part.element, part.element.name, sizes[id(part.element)]
+        if id(element) in first or not size or name in PAGE or in_article(part):
             continue
+        own = hashes[id(element)]
+        if not part.read:
+            if name not in PROSE:
+                chosen[id(element)] = own, CONTAINER
         # a bare container of running text is a paragraph of the article
-        if name not in PROSE and (element.attributes.strip() or id(element) not in loose
-                                  or starts[0] is root):
-            chosen[id(element)] = hashes[id(element)], HOLDER if 2 * size >= total else CONTAINER
-        elif name in UNITS or name not in PROSE or name in INLINE and parent.name not in PROSE \
-                and id(parent) not in loose:
-            chosen[id(element)] = hashes[id(element)], place + 1
+        elif name not in PROSE and whole:
+            chosen[id(element)] = own, HOLDER if 2 * size >= total else CONTAINER
+        elif name not in PROSE and (element.attributes.strip() or id(element) not in loose):
+            chosen[id(element)] = (own, HOLDER) if 2 * size >= total else (own, part.place + 1)
+        elif name in UNITS or name not in PROSE or name in INLINE \
+                and part.parent.element.name not in PROSE and id(part.parent.element) not in loose:
+            chosen[id(element)] = own, part.place + 1
     return chosen, int.from_bytes(body.digest(), "little", signed=True)
 
 
-def page_hashes(page: str | None) -> list[int]:
-    """Distinct hashes of a page's containers that do not hold most of its text."""
-    if not page:
-        return []
-    return sorted({h for h, place in candidates(parse(page))[0].values() if place == CONTAINER})
+def removed(root: Element, gone: set[int]) -> tuple[int, int]:
+    """Characters of text that went with the elements ``gone``, and with names besides."""
+    by_recurrence = by_name = 0
+    state: dict[int, bool] = {}
+    for part in parts_of(root)[1]:
+        element = part.element
+        deleted = id(element) in gone or bool(
+            part.parent and state[id(part.parent.element)])
+        state[id(element)] = deleted
+        if deleted or not part.read:
+            size = sum(len(" ".join(c.split())) for c in element.children if isinstance(c, str))
+            by_recurrence += size * deleted
+            by_name += size * (not deleted)
+    return by_recurrence, by_name
+
+
+def main_text(page: str | None, known: Callable[[int], bool] = lambda _: False) -> str:
+    """Text of the article without template and furniture, blocks joined by one space."""
+    return read_page(page, known)[0]
 
 
-def main_text(page: str | None, template: frozenset[int] = frozenset()) -> str:
-    """Text of the article without template and furniture, blocks joined by one space.
+def read_page(page: str | None, known: Callable[[int], bool] = lambda _: False
+              ) -> tuple[str, int, int]:
+    """A page's main text, and the characters that recurrence and names took from the page.
 
-    ``template`` holds hash ^ place of what recurs.
+    ``known`` tells of hash ^ place whether such a subtree recurs.
     """
     if not page:
-        return ""
+        return "", 0, 0
     root = parse(page)
-    if not template:
-        return text_of(root, set())[0]
     chosen, _ = candidates(root)
-    text, told = text_of(root, {e for e, (h, p) in chosen.items() if h ^ p in template})
-    if not told:  # headings at most: these pages are made of what recurs
-        text, _ = text_of(root, {e for e, (h, p) in chosen.items()
-                                 if p == CONTAINER and h in template})
-    return text
+    gone = {e for e, (h, p) in chosen.items() if known(h ^ p)}
+    text, told = text_of(root, gone)
+    if gone and not told:  # headings at most: these pages are made of what recurs
+        gone = {e for e in gone if chosen[e][1] == CONTAINER}
+        text, _ = text_of(root, gone)
+    return text, *removed(root, gone)
 
 
 def text_of(root: Element, gone: set[int]) -> tuple[str, bool]:
@@ -307,14 +440,13 @@ def host_key(url: Column) -> Column:
     return F.xxhash64(F.lower(rest))
 
 
-def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
-              html: str = "html") -> DataFrame:
-    """(host, hash, place, page_id): subtrees of each page that are template of its host.
+def site_keys(hosts: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """One 64-bit number for each host and subtree."""
+    return mix(mix(hosts.astype(np.int64).view(np.uint64)) ^ own.astype(np.int64).view(np.uint64))
 
-    Counted over the different texts of all pages.  Rows of a host and hash are summed on
-    the map side first, and only those seen often enough are told apart by text, so a large
-    host adds no more rows to a task than its distinct subtrees.
-    """
+
+def subtrees(pages: DataFrame, page_id: str, url: str, html: str) -> DataFrame:
+    """(page_id, host, hash, place, body) of every subtree that may be deleted, stored."""
     def worker():
         def work(ids, hosts, texts):
             rows = ([], [], [], [], [])
@@ -331,7 +463,16 @@ def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     each = flat_python(pages, [col(page_id).cast("long"), host_key(col(url)), col(html)],
                        [(name, T.LongType()) for name in
                         ("page_id", "host", "hash", "place", "body")], worker)
-    each = stored(each, "subtrees")
+    return stored(each, "subtrees")
+
+
+def templates(each: DataFrame) -> DataFrame:
+    """(host, hash, place): subtrees that are template of their host.
+
+    Counted over the different texts of all pages.  Rows of a host and hash are summed on the
+    map side first, and only those seen often enough are told apart by text, so a large host
+    adds no more rows to a task than its distinct subtrees.
+    """
     key = F.xxhash64("host", "hash")
     often = each.groupBy(key.alias("key")).agg(F.count("*").alias("n")) \
         .where(F.col("n") >= LEAST_PAGES).select("key")
@@ -346,37 +487,76 @@ def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
         F.when(F.col("contained") >= LEAST_PROSE, F.lit(HOLDER)),
         F.when((F.col("top.n") >= LEAST_PROSE) & (2 * F.col("top.n") > F.col("standing")),
                F.col("top.place")))
-    template = counts.groupBy("host", "hash") \
+    return counts.groupBy("host", "hash") \
         .agg(contained.alias("contained"), standing.alias("standing"), main_place.alias("top")) \
         .select("host", "hash", F.explode(F.array_compact(places)).alias("place"))
-    return each.drop("body").join(template, ["host", "hash", "place"])
+
+
+def recurring(pages: DataFrame, page_id: str = "page_id", url: str = "url",
+              html: str = "html") -> DataFrame:
+    """(host, hash, place, page_id): the template subtrees that stand on each page."""
+    each = subtrees(pages, page_id, url, html)
+    return each.drop("body").join(templates(each), ["host", "hash", "place"])
+
+
+FOUND = [("text", T.StringType()), ("by_recurrence", T.LongType()), ("by_name", T.LongType())]
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
             html: str = "html") -> DataFrame:
-    """page_id, url and ``text``, the main text of each page.
+    """page_id, url, ``text``, the main text of each page, and the characters that recurrence
+    and then names took from it.
 
     A null or empty page has an empty text.  Repeated rows stay; a page without a host
     belongs to the host without a name.  Other columns are not used.
     """
-    template = stored(
-        recurring(pages, page_id, url, html).groupBy("page_id", "host")
-        .agg(F.collect_set(F.col("hash").bitwiseXOR(F.col("place"))).alias("template")),
-        "templates")
+    each = subtrees(pages, page_id, url, html)
+    template = stored(templates(each), "templates")
     named = pages.select(col(page_id).alias("page_id"), col(url).alias("url"),
                          col(html).alias("html"), host_key(col(url)).alias("page_host"))
-    some = key_filter(template.select(F.xxhash64("page_id", "host").alias("key")))(
+    keyed = F.col("hash").bitwiseXOR(F.col("place"))
+    if template.count() <= MOST_SHARED:
+        rows = template.select("host", keyed.alias("own")).toArrow()
+        keys = site_keys(rows["host"].to_numpy(), rows["own"].to_numpy())
+        shared = pages.sparkSession.sparkContext.broadcast(np.sort(keys))
+
+        def from_all():
+            held = shared.value
+
+            def work(hosts, texts):
+                rows = []
+                for host, text in zip(hosts, texts, strict=True):
+                    def known(own, host=host):
+                        key = site_keys(np.array([host]), np.array([own]))[0]
+                        at = np.searchsorted(held, key)
+                        return bool(at < len(held) and held[at] == key)
+
+                    rows.append(read_page(text, known))
+                return list(map(list, zip(*rows, strict=True))) or [[], [], []]
+
+            return work
+
+        return with_python(named, [F.col("page_host"), F.col("html")], FOUND, from_all,
+                           ["page_id", "url"])
+    by_page = stored(
+        each.drop("body").join(template, ["host", "hash", "place"]).groupBy("page_id", "host")
+        .agg(F.collect_set(keyed).alias("template")), "page-templates")
+    some = key_filter(by_page.select(F.xxhash64("page_id", "host").alias("key")))(
         F.xxhash64(F.col("page_id").cast("long"), F.col("page_host")))
     met = named.where(some).join(
-        template, F.col("page_host").eqNullSafe(F.col("host"))
-        & named["page_id"].cast("long").eqNullSafe(template["page_id"]), "left") \
+        by_page, F.col("page_host").eqNullSafe(F.col("host"))
+        & named["page_id"].cast("long").eqNullSafe(by_page["page_id"]), "left") \
         .select(named["page_id"], "url", "html", "template")
     bare = named.where(~some).select("page_id", "url", "html", F.lit(None).cast(
-        template.schema["template"].dataType).alias("template"))
+        by_page.schema["template"].dataType).alias("template"))
 
-    def worker():
-        return lambda texts, templates: [
-            [main_text(t, frozenset(h or ())) for t, h in zip(texts, templates, strict=True)]]
+    def from_own():
+        def work(texts, own):
+            rows = [read_page(t, frozenset(h or ()).__contains__)
+                    for t, h in zip(texts, own, strict=True)]
+            return list(map(list, zip(*rows, strict=True))) or [[], [], []]
+
+        return work
 
-    return with_python(met.unionByName(bare), [F.col("html"), F.col("template")],
-                       [("text", T.StringType())], worker, ["page_id", "url"])
+    return with_python(met.unionByName(bare), [F.col("html"), F.col("template")], FOUND,
+                       from_own, ["page_id", "url"])
