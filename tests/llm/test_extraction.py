@@ -1,6 +1,8 @@
 import html
 import random
 import re
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -169,22 +171,85 @@ def test_template_does_not_depend_on_the_size_of_the_host(spark):
     for i in range(1000):
         own = prose(rng, "en", 9)
         notice = "<div class=x>Old notice</div>" if i < 4 else ""
-        rows.append((i, "http://a.example.org/x", f"<article>{notice}<p>{own}</p></article>"))
+        rows.append((i, "http://a.example.org/x", f"<body>{notice}<p>{own}</p></body>"))
         want[i] = own
     assert extracted(spark, rows) == want
 
 
+def test_a_quote_that_recurs_in_some_articles_stays(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for i in range(100):
+        own = prose(rng, "en", 9)
+        quote = "<div class=quote>So it is.</div>" if i < 4 else ""
+        often = "<div class=box>Read this next</div>"
+        rows.append((i, "http://a.example.org/x",
+                     f"<article><p>{own}</p>{quote}{often}</article>"))
+        want[i] = f"{own} So it is." if quote else own
+    assert extracted(spark, rows) == want
+
+
+@pytest.mark.parametrize("shared", [X.MOST_SHARED, 0])
+def test_recurrence_takes_what_no_name_tells(spark, monkeypatch, shared):
+    """Menus, adverts and footers of neutral names, whether or not templates are sent to all
+    tasks; every page holds a template."""
+    monkeypatch.setattr(X, "MOST_SHARED", shared)
+    rng = random.Random(12)
+    rows, want = [], {}
+    for i in range(60):
+        own = prose(rng, "en", 30)
+        page = (f"<body><div id=a1>Home News About {i % 3}</div><article><p>{own}</p></article>"
+                f"<div id=a2>Buy <b>now</b></div><footer>All rights</footer><nav>{i}</nav></body>")
+        if i % 2:
+            page = page.replace("article>", "div>")
+        rows.append((i, f"http://h{i % 2}.example.org/x", page))
+        want[i] = own
+        assert (X.main_text(page) == own) == (i % 2 == 0)
+    got = {r["page_id"]: r for r in
+           X.extract(spark.createDataFrame(rows, PAGES).repartition(4)).collect()}
+    assert {i: r["text"] for i, r in got.items()} == want
+    for i, r in got.items():
+        assert r["by_recurrence"] == len(f"Home News About {i % 3}Buynow" "All rights")
+        assert r["by_name"] == len(str(i))
+
+
+@pytest.mark.parametrize("probe", [
+    '<a "', "<div></x>", "<div></p>", '<a x="', "<a x='\" ", "<b><div></div>", "<a", "</", "<!",
+    "<li><ul><b><li></li>", "<![CDATA[", "<p><b>", "<table><tr><td><b><i>", "<title", "<a b='>"])
+def test_malformed_pages_of_a_megabyte_take_seconds(probe):
+    page = probe * (1_000_000 // len(probe))
+    start = time.process_time()
+    X.main_text(page)
+    assert time.process_time() - start < 30
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("a <a x='1>2'>b</a> c", "a b c"), ("<p title=\"it's\">a</p>b", "a b"), ("a<p x='>b", "a b"),
+    ("a <b", "a <b"), ("a <!-- b", "a"), ("a <!-- b --> c <![CDATA[x]]> d", "a c d"),
+    ("<li>a<ul><li>b</ul><li>c", "a b c"), ("<p>a<div>b</p>c</div>d", "a bc d"),
+    ("<table><tr><td>a<table><tr><td>b</table><td>c</table>", "a b c"),
+    ("<select><option>no<option>no</select>a", "a"), ("<b>a</i></b>c", "ac"),
+])
+def test_odd_markup(page, text):
+    assert X.main_text(page) == text
+
+
+def page_hashes(page):
+    """Distinct hashes of a page's containers that do not hold most of its text."""
+    return {h for h, place in X.candidates(X.parse(page))[0].values() if place == X.CONTAINER}
+
+
 def test_template_counts_equal_a_plain_count(spark):
     rng = random.Random(6)
     rows = [(i, *site(rng, f"h{i % 3}.example.org", i, f"t{i % 5}")[:2]) for i in range(60)]
     pages = spark.createDataFrame(rows, PAGES)
     counts = {}
     for _, url, page in rows:
-        for h in X.page_hashes(page):
+        for h in page_hashes(page):
             key = (url.split("/")[2], h)
             counts[key] = counts.get(key, 0) + 1
-    want = {(i, h) for i, url, page in rows for h in X.page_hashes(page)
-            if counts[url.split("/")[2], h] >= max(X.LEAST_PAGES, X.LEAST_SHARE * 20)}
+    want = {(i, h) for i, url, page in rows for h in page_hashes(page)
+            if counts[url.split("/")[2], h] >= X.LEAST_PAGES}
     assert {tuple(r) for r in X.recurring(pages).select("page_id", "hash").collect()} == want
 
 
@@ -200,3 +265,16 @@ def test_given_pages(spark, sf_dir):
            queries.queries()["op10_html_extraction"](spark, sf_dir).collect()}
     assert got == {r["page_id"]: plain(r["html"]) for r in read(spark, sf_dir, "pages").collect()}
     assert X.extract(read(spark, sf_dir, "pages")).where(F.col("text") == "").count() == 0
+
+
+def test_recurrence_has_work_on_given_pages(spark, sf_dir):
+    """What the template takes from the pages as they are, and what is left to names."""
+    pages = read(spark, str(Path(sf_dir).parent / "sf0.01"), "pages")
+    rows = X.extract(pages).collect()
+    held = {r["page_id"] for r in X.recurring(pages).collect()}
+    by_id = {r["page_id"]: r for r in rows}
+    assert held == {i for i, r in by_id.items() if r["by_recurrence"]}
+    bare = {r["page_id"]: X.read_page(r["html"]) for r in pages.collect()}
+    for i, r in by_id.items():  # with an empty template, names must take it all
+        assert bare[i][1] == 0 and bare[i][2] == r["by_recurrence"] + r["by_name"]
+    assert held and any(bare[i][2] != by_id[i]["by_name"] for i in held)
