@@ -101,13 +101,17 @@ def parse_files(
 
     def parse(group: tuple[str, str]) -> None:
         table, header = group
-        spec, paths = TABLES[table], groups[group]
+        spec, paths = TABLES[table], [p for p in groups[group] if p not in refused]
         try:
             rows = landing.read_with_problems(
                 lake.spark, paths, header, spec, multi_line, enforce)
             rows = rows.select(ARRIVAL, *source_columns(rows, spec), PROBLEM)
         except (AnalysisException, MalformedFileError) as error:
-            refused.update(dict.fromkeys(paths, str(error).split("\n")[0]))
+            at_fault = {plain(f) for f in getattr(error, "files", ())}
+            bad = [p for p in paths if plain(p) in at_fault] or paths
+            refused.update(dict.fromkeys(bad, str(error).split("\n")[0]))
+            if len(bad) < len(paths):
+                parse(group)
             return
         path = lake.work(table)
         rows.write.parquet(path)

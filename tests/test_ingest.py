@@ -1,14 +1,15 @@
 """Casts, conforming, extraction, CSV landing, routing and JDBC options."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.errors import AnalysisException, SparkRuntimeException
 from pyspark.sql import functions as F, types as T
 
-from lectern.functions.casting import cast_column, clean_name
+from lectern.functions.casting import MISSING_TEXTS, cast_column, clean_name
 from lectern.operators.conform import cast_declared, clean_columns, conform
-from lectern.sources import jdbc, landing, staging
+from lectern.sources import jdbc, landing, quoted, staging
 from lectern.specs import LAND_ORDER, TABLES, TableSpec, _table
 from tests.tables import frame, only, rows
 
@@ -292,3 +293,58 @@ def test_quoted_line_breaks_land_whole(spark, tmp_path):
     path = write(tmp_path / "program.csv", b'program_id,class_of\nP1,"a\n""b"", c"\nP2,x\n')
     got = landing.read_csv(spark, path, TABLES["program"], multi_line=True).collect()
     assert {r["program_id"]: r["class_of"] for r in got} == {"P1": 'a\n"b", c', "P2": "x"}
+
+
+def quoted_text(rng) -> str:
+    field = "".join(rng.choices(['a', 'b', '"', "\n", ",", " ", "é", "\r\n", '""'],
+                                k=rng.randint(0, 12)))
+    return field.replace("\r\n", "\n")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_spanning_records_are_read_by_many_tasks(spark, tmp_path, seed):
+    """Random quotes, commas and line breaks; the blocks are so small that records span them."""
+    import csv as writer
+
+    rng = random.Random(seed)
+    rows = [(f"k{i}", quoted_text(rng)) for i in range(400)]
+    rows[200] = ("long", "x\n" * 3000)
+    path = tmp_path / "program.csv"
+    with path.open("w", newline="") as out:
+        sheet = writer.writer(out, lineterminator=rng.choice(["\n", "\r\n"]))
+        sheet.writerow(["program_id", "class_of"])
+        sheet.writerows(rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        found = quoted.records(spark, str(path))
+        assert quoted.lines(spark, str(path)).rdd.getNumPartitions() > 10
+        got = landing.read_csv(spark, str(path), multi_line=True, arrival=True)
+        got = [tuple(r) for r in got.orderBy("_arrival.block", "_arrival.row")
+               .select("program_id", "class_of").collect()]
+        assert found.where("first").count() == 1 and found.count() == len(rows) + 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    one = spark.read.options(header=True, escape='"', multiLine=True).csv(str(path))
+    one = [tuple(r) for r in one.collect()]
+    assert len(got) == len(rows)
+    assert sorted(got, key=repr) == sorted(
+        [(k, v if v not in MISSING_TEXTS else None) for k, v in one], key=repr)
+    assert [k for k, _ in got] == [k for k, _ in rows]
+
+
+def test_a_quote_that_is_never_closed_is_refused(spark, tmp_path):
+    path = write(tmp_path / "program.csv", b'program_id,class_of\nP,"a\nQ,b\n')
+    with pytest.raises(landing.MalformedFileError, match="program.csv: a quote is not closed"):
+        landing.read_csv(spark, path, TABLES["program"], multi_line=True)
+
+
+def test_spanning_rows_that_do_not_fit_are_refused(spark, tmp_path):
+    path = write(tmp_path / "program.csv", b'program_id,class_of\nP,"a\nb",EXTRA\n\nQ,x\n')
+    df = landing.read_csv(spark, path, TABLES["program"], multi_line=True)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        df.collect()
+    told = landing.read_with_problems(
+        spark, [path], "program_id,class_of", TABLES["program"], multi_line=True).collect()
+    assert {r["program_id"]: r["_problem"] is None for r in told} == {"P": False, "Q": True}

@@ -418,6 +418,19 @@ def test_a_bad_file_falls_alone(spark, tmp_path):
     assert "no rows" in rejected["program_2.csv"] and "10 allowed" in rejected["program_5.csv"]
 
 
+def test_an_open_quote_refuses_its_file_only(spark, tmp_path):
+    folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
+    folder.mkdir()
+    header = "program_id,class_of\n"
+    (folder / "program_1.csv").write_text(header + 'P,"a\nb"\n')
+    (folder / "program_2.csv").write_text(header + 'Q,"a\n')
+    start_landing(lake, str(folder), str(tmp_path / "cp"), now=NOW,
+                  multi_line=True).awaitTermination()
+    assert only(lake.source("program").read())["class_of"] == "a\nb"
+    (rejected,) = spark.read.parquet(f"{lake.base}/rejected").collect()
+    assert rejected["path"].endswith("program_2.csv") and "not closed" in rejected["verdict"]
+
+
 def test_trouble_that_is_no_files_fault_ends_the_batch(spark, tmp_path, monkeypatch):
     folder, lake = tmp_path / "in", Lake(spark, str(tmp_path / "lake"))
     folder.mkdir()
