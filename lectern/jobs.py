@@ -28,10 +28,12 @@ def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="lectern.jobs")
     top.add_argument("base", help="folder of the lake, shared by all executors")
     top.add_argument("--parallel", type=int, default=8, help="tables handled side by side")
+    top.add_argument("--parts", type=int, default=pipelines.MOST_PARTS,
+                     help="key ranges that a table is cut into")
     top.add_argument("--no-checks", action="store_true",
                      help="land files that break references or text limits")
     top.add_argument("--multi-line", action="store_true",
-                     help="allow line breaks inside quoted texts; one task per file")
+                     help="allow line breaks inside quoted texts")
     top.add_argument("--database", help="catalog database in which marts are declared")
     top.add_argument("--catalog", help="warehouse tables that take row-level writes")
     top.add_argument("--jdbc-url")
@@ -61,7 +63,8 @@ def source_of(lake: pipelines.Lake, args: argparse.Namespace) -> Mapping[str, Da
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = spark or build_session(f"lectern {args.job}")
-    lake = pipelines.Lake(spark, args.base, args.parallel, args.database, args.catalog)
+    lake = pipelines.Lake(spark, args.base, args.parallel, args.database, args.catalog,
+                          args.parts)
     now = datetime.now(timezone.utc)
     if args.job == "land-bulk":
         pipelines.land_bulk(lake, args.folder, now, enforce=not args.no_checks,

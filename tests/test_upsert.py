@@ -104,7 +104,7 @@ def parts(table):
 
 
 def test_a_merge_reads_and_writes_only_the_parts_of_its_keys(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4, most_parts=64)
     table.upsert(kv(spark, *[(i, "old") for i in range(-20, 160)]))
     assert set(parts(table)) == set(range(-2, 10))
     counts = table.upsert(kv(spark, (17, "new"), (18, "new"), (-1, "new"), (500, "new")))
@@ -119,7 +119,7 @@ def test_a_merge_reads_and_writes_only_the_parts_of_its_keys(spark, lake_dir):
 
 
 def test_reading_after_many_merges_costs_what_it_costs_after_one(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4, most_parts=64)
     table.upsert(kv(spark, *[(i, "0") for i in range(64)]))
     first = table.read()
     for step in range(1, 13):
@@ -136,18 +136,18 @@ def test_reading_after_many_merges_costs_what_it_costs_after_one(spark, lake_dir
 
 
 def test_sparse_keys_get_wider_parts(spark, lake_dir):
-    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4)
+    table = SnapshotTable(spark, lake_dir, SPEC, part_bits=4, most_parts=64)
     table.upsert(kv(spark, *[(i, "a") for i in range(40)]))
     assert set(parts(table)) == {0, 1, 2}
     far = [(i << 40, "b") for i in range(-300, 300)]
     counts = table.upsert(kv(spark, *far))
     assert (counts["inserted"], counts["updated"], counts["total"]) == (599, 1, 639)
-    assert len(parts(table)) <= 2 * snapshots.MOST_PARTS
+    assert len(parts(table)) <= 2 * 64
     want = {i: "a" for i in range(40)} | dict(far)
     assert dict(pairs(table.read())) == want
     table.append(kv(spark, (7 << 50, "c")))
     assert dict(pairs(table.read())) == want | {7 << 50: "c"}
-    assert len(parts(table)) <= 2 * snapshots.MOST_PARTS
+    assert len(parts(table)) <= 2 * 64
     low = 5 << 40
     assert pairs(table.read_between(low, low + 1)) == [(low, "b")]
     assert table.upsert(kv(spark, (low, "d")))["updated"] == 1
