@@ -36,7 +36,7 @@ EXCHANGE = 6
 LAST_FILL = 0.75
 
 #: What is neither ASCII nor a Latin-1 letter.
-UNUSUAL = "[^\x00-\x7fÀ-ÖØ-öø-ÿ]"
+UNUSUAL = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
 # Pre-tokens in lower-cased bytes, where bytes over 127 spell letters only, and
 # the settings of a tokenizer file that has these pre-tokens.
 PRE_TOKEN = re.compile(
@@ -82,8 +82,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         settings = json.loads(self.tokenizer.to_str())
-        special = [re.escape(t["content"]) for t in settings["added_tokens"]]
-        self.whole = re.compile("|".join([UNUSUAL, *special]) if cuts_words(settings) else "")
+        self.special = [t["content"] for t in settings["added_tokens"]]
+        self.cuts_words = cuts_words(settings)
         self.merges = Tokenizer(self.tokenizer.model)
         self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         # byte-level vocabularies spell bytes without a visible character by ones from 256 on
@@ -107,9 +107,14 @@ class Encoder:
             data = ids.tobytes()
             self.known.update((g, data[a:b]) for g, a, b in zip(group, cuts, cuts[1:]))
 
+    def usual(self, text: str) -> bool:
+        """Whether pre-tokens make up the text."""
+        return self.cuts_words and not UNUSUAL.search(text) \
+            and not any(s in text for s in self.special)
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        usual = [not self.whole.search(t) for t in texts]
+        usual = [self.usual(t) for t in texts]
         cut = [PRE_TOKEN.findall(t.lower().encode()) if u else []
                for t, u in zip(texts, usual, strict=True)]
         self.learn(cut)
