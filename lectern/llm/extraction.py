@@ -267,7 +267,7 @@ def starts_of(root: Element) -> list[Element]:
     return found or [root]
 
 
-@dataclass
+@dataclass(slots=True)
 class Part:
     """An element with what stands above it.
 
@@ -317,7 +317,12 @@ CONTAINER, HOLDER = 0, -1
 def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
     """id(element) -> (hash, place) of every subtree that may be deleted for recurring, and
     a hash of the text read."""
-    starts, found = parts_of(root)
+    return chosen_parts(*parts_of(root))
+
+
+def chosen_parts(starts: list[Element], found: list[Part]
+                 ) -> tuple[dict[int, tuple[int, int]], int]:
+    root = found[0].element
     known = {id(part.element): part for part in found}
     hashes: dict[int, int] = {}
     sizes: dict[int, int] = {}
@@ -364,49 +369,51 @@ def candidates(root: Element) -> tuple[dict[int, tuple[int, int]], int]:
     return chosen, int.from_bytes(body.digest(), "little", signed=True)
 
 
-def removed(root: Element, gone: set[int]) -> tuple[int, int]:
+def removed(found: list[Part], gone: set[int]) -> tuple[int, int]:
     """Characters of text that went with the elements ``gone``, and with names besides."""
     by_recurrence = by_name = 0
-    state: dict[int, bool] = {}
-    for part in parts_of(root)[1]:
-        element = part.element
-        deleted = id(element) in gone or bool(
-            part.parent and state[id(part.parent.element)])
-        state[id(element)] = deleted
-        if deleted or not part.read:
-            size = sum(len(" ".join(c.split())) for c in element.children if isinstance(c, str))
-            by_recurrence += size * deleted
-            by_name += size * (not deleted)
+    below: set[int] = set()
+    for part in found:
+        element, parent = part.element, part.parent
+        if gone and (id(element) in gone or parent and id(parent.element) in below):
+            below.add(id(element))
+        elif part.read:
+            continue
+        size = sum([len(" ".join(c.split())) for c in element.children if isinstance(c, str)])
+        if id(element) in below:
+            by_recurrence += size
+        else:
+            by_name += size
     return by_recurrence, by_name
 
 
-def main_text(page: str | None, known: Callable[[int], bool] = lambda _: False) -> str:
+Known = Callable[[list[int]], set[int]]
+
+
+def main_text(page: str | None, known: Known = lambda _: set()) -> str:
     """Text of the article without template and furniture, blocks joined by one space."""
     return read_page(page, known)[0]
 
 
-def read_page(page: str | None, known: Callable[[int], bool] = lambda _: False
-              ) -> tuple[str, int, int]:
+def read_page(page: str | None, known: Known = lambda _: set()) -> tuple[str, int, int]:
     """A page's main text, and the characters that recurrence and names took from the page.
 
-    ``known`` tells of hash ^ place whether such a subtree recurs.
+    ``known`` picks those of hash ^ place that recur.
     """
     if not page:
         return "", 0, 0
     root = parse(page)
-    chosen, _ = candidates(root)
-    gone = {e for e, (h, p) in chosen.items() if known(h ^ p)}
-    text, told = text_of(root, gone)
+    starts, found = parts_of(root)
+    chosen, _ = chosen_parts(starts, found)
+    keys = {e: h ^ p for e, (h, p) in chosen.items()}
+    recurring_keys = known(list(keys.values())) if keys else set()
+    gone = {e for e, key in keys.items() if key in recurring_keys}
+    whole = starts[0] is not root
+    text, told = text_from(starts, whole, gone)
     if gone and not told:  # headings at most: these pages are made of what recurs
         gone = {e for e in gone if chosen[e][1] == CONTAINER}
-        text, _ = text_of(root, gone)
-    return text, *removed(root, gone)
-
-
-def text_of(root: Element, gone: set[int]) -> tuple[str, bool]:
-    """Text of what is read without the elements ``gone``; whether any is outside headings."""
-    starts = starts_of(root)
-    return text_from(starts, starts[0] is not root, gone)
+        text, _ = text_from(starts, whole, gone)
+    return text, *removed(found, gone)
 
 
 def text_from(starts: list[Element], inside: bool, gone: set[int]) -> tuple[str, bool]:
@@ -527,9 +534,10 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
                 rows = []
                 for host, text in zip(hosts, texts, strict=True):
                     def known(own, host=host):
-                        key = site_keys(np.array([host]), np.array([own]))[0]
-                        at = np.searchsorted(held, key)
-                        return bool(at < len(held) and held[at] == key)
+                        keys = site_keys(np.full(len(own), host), np.array(own))
+                        at = np.minimum(np.searchsorted(held, keys), max(0, len(held) - 1))
+                        return {k for k, met in zip(own, held[at] == keys) if met} \
+                            if len(held) else set()
 
                     rows.append(read_page(text, known))
                 return list(map(list, zip(*rows, strict=True))) or [[], [], []]
@@ -552,7 +560,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url",
 
     def from_own():
         def work(texts, own):
-            rows = [read_page(t, frozenset(h or ()).__contains__)
+            rows = [read_page(t, frozenset(h or ()).intersection)
                     for t, h in zip(texts, own, strict=True)]
             return list(map(list, zip(*rows, strict=True))) or [[], [], []]
 
