@@ -37,9 +37,10 @@ LEAST, LONGEST, CONTAINED_PERCENT, TOP, SCALE = 10, 3, 50, 2000, 1_000_000
 UNKNOWN = "und"
 
 #: Bytes of text that a task gathers before it counts, and words that it counts at once.
-GATHER_BYTES, SLICE_WORDS = 16 << 20, 1 << 20
-#: Entries a task sums up before it sends them on.
-FLUSH_ENTRIES = 1 << 22
+#: A word of a text takes some sixty bytes while it is counted.
+GATHER_BYTES, SLICE_WORDS = 2 << 20, 1 << 18
+#: Entries a task holds before it sums them up, and sends them on if most were distinct.
+FLUSH_ENTRIES = 1 << 21
 #: Occurrences meant for one hash partition, and bits of a hash beyond those that number them.
 PARTITION_MASS, SPARE_BITS = 1 << 24, 10
 #: Probes of the Bloom filter, slots for each survivor, and the most slots it may have.  A
@@ -192,13 +193,25 @@ def local_sums(texts: DataFrame, bits: int, part_bits: int, longest: int) -> Dat
                     counts.append(times)
                     entries += len(each)
                 if entries >= FLUSH_ENTRIES:
-                    yield from flushed(keys, counts)
-                    keys, counts, entries = [], [], 0
+                    distinct(keys, counts)
+                    entries = len(keys[0])
+                    if entries >= FLUSH_ENTRIES // 2:
+                        yield sent(keys.pop(), counts.pop())
+                        entries = 0
         if entries:
-            yield from flushed(keys, counts)
-
-    def flushed(keys, counts) -> Iterator[pa.RecordBatch]:
-        keys, counts = summed(np.concatenate(keys), np.concatenate(counts))
+            distinct(keys, counts)
+            yield sent(keys.pop(), counts.pop())
+
+    def distinct(keys: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        """Makes one array of each; the pieces are let go before the sums are made."""
+        all_keys, all_counts = np.concatenate(keys), np.concatenate(counts)
+        keys.clear()
+        counts.clear()
+        all_keys, all_counts = summed(all_keys, all_counts)
+        keys.append(all_keys)
+        counts.append(all_counts)
+
+    def sent(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         parts = (keys >> np.uint64(bits - part_bits)).astype(np.int64)
         edges = np.concatenate([[0], np.flatnonzero(parts[1:] != parts[:-1]) + 1, [len(parts)]])
         rows = []
@@ -209,7 +222,7 @@ def local_sums(texts: DataFrame, bits: int, part_bits: int, longest: int) -> Dat
             rows.append((part, 0, int(high - low), packed(steps), packed(own)))
         columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), (
             pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, names=SUMMARY.names)
+        return pa.RecordBatch.from_arrays(columns, names=SUMMARY.names)
 
     return texts.mapInArrow(run, SUMMARY)
 

@@ -154,3 +154,22 @@ def test_one_language_and_phrase_hold_most_rows(spark):
 def test_longest_is_checked(spark):
     with pytest.raises(ValueError, match="1 to 3"):
         C.frequent(empty(spark), longest=4)
+
+
+def test_a_task_holds_few_words_and_sums_at_once():
+    """Its memory follows these bounds: some sixty bytes a word, forty an entry in sums."""
+    assert C.GATHER_BYTES * 60 // 2 + C.FLUSH_ENTRIES * 80 <= 256 << 20
+    assert C.SLICE_WORDS * C.LONGEST <= C.FLUSH_ENTRIES // 2
+
+
+def test_sums_are_sent_when_most_entries_are_distinct(spark, monkeypatch):
+    monkeypatch.setattr(C, "FLUSH_ENTRIES", 64)
+    monkeypatch.setattr(C, "SLICE_WORDS", 8)
+    few = spark.createDataFrame([("en", "a b " * 500)], "lang string, text string").coalesce(1)
+    many = spark.createDataFrame([("en", " ".join(map(str, range(1000))))],
+                                 "lang string, text string").coalesce(1)
+    for texts, words, rows in ((few, 1000, 1), (many, 1000, 60)):
+        sums = C.local_sums(texts, 40, 0, 3)
+        assert sums.agg(F.sum("mass")).first()[0] == 3 * words - 3
+        sent = sums.where("mass = 0").count()
+        assert sent == 1 if rows == 1 else sent >= rows // 2
