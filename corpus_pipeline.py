@@ -11,7 +11,7 @@ from lectern.llm.common import col, key_filter, read, stored
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without any letter and those in no language that was learned.
 
-    Network and vocabulary learn from the labelled documents of the stage's own input.
+    Network and vocabulary learn from all labelled documents of the stage's own input, whole.
     """
     net, vocabulary = langid.fit_both(docs, F.lit(True))
     own = docs.select(col("text"), *[col(c).alias(f"own {c}") for c in docs.columns])

@@ -88,3 +88,64 @@ def test_held_out_accuracy_on_given_documents(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
     rows = got.where("held_out").join(docs, "doc_id").collect()
     assert np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.9
+
+
+def test_the_vocabulary_counts_every_trigram_of_every_text(spark):
+    rng = random.Random(4)
+    texts = [prose(rng, "en", 400) for _ in range(30)]  # far more than a few windows each
+    docs = frame(spark, [(t, "en") for t in texts])
+    found = L.learn_vocabulary(docs)
+    folds = [L.fold_of(t.encode()) for t in texts]
+    known = np.zeros(1 << 24, np.uint8)
+    for fold in range(L.FOLDS):
+        for t, own in zip(texts, folds, strict=True):
+            if own != fold:
+                known[L.trigrams(t.encode())] |= 1 << fold
+    assert (found.known == known).all()
+    shares = [L.known_share(known, t.encode()) for t in texts]
+    assert found.least == pytest.approx(max(0.0, 1 - L.MARGIN * (1 - min(shares))), abs=1e-9)
+
+
+def test_rare_trigrams_are_unknown_whatever_the_number_of_texts(spark, monkeypatch):
+    monkeypatch.setattr(L, "RARE", 100)
+    texts = [f"{'abc' * 100}{i}" for i in range(60)] + ["xyz one", "xyz two"]
+    known = L.learn_vocabulary(frame(spark, [(t, "en") for t in texts])).known
+    assert known[L.trigrams(b"abc")[0]] == 255 and known[L.trigrams(b"xyz")[0]] == 0
+
+
+def test_no_text_vouches_for_itself(spark):
+    known = L.learn_vocabulary(frame(spark, [("only here", "en")] * 5)).known
+    assert L.known_share(known, b"only here") == 0
+
+
+def test_the_network_learns_from_all_windows(spark, monkeypatch):
+    """What stands outside the windows that the weights start from is learned, too."""
+    rng = random.Random(5)
+    monkeypatch.setattr(L, "PASS_RATE", L.RATE)
+    texts = [("zq " * 90 + prose(rng, lang, 300), lang) for lang in ("en", "de") * 60]
+    rows = frame(spark, texts).coalesce(1)
+    start = [(lang, t.encode()[:L.WINDOW]) for t, lang in texts]
+    fresh = [(prose(rng, lang, 60), lang) for lang in ("en", "de") * 40]
+
+    def loss(net):
+        return -np.mean([np.log(net.probabilities(L.windows_of(t.encode()))
+                                [:, net.labels.index(lang)]).mean() for t, lang in fresh])
+
+    sizes = {lang: sum(len(L.windows_of(t.encode())) for t, own in texts if own == lang)
+             for lang in ("en", "de")}
+    before = loss(L.train(start))
+    assert loss(L.learn_all(rows, L.train(start), sizes)) < 0.97 * before
+
+
+def test_fitting_meets_every_labelled_window(spark, monkeypatch):
+    met = {}
+
+    def learn_all(rows, net, windows, text, label):
+        met.update(windows)
+        return net
+
+    monkeypatch.setattr(L, "learn_all", learn_all)
+    monkeypatch.setattr(L, "SAMPLE_DOCS", 2)
+    docs = frame(spark, [("word " * 1000, "en")] * 9 + [("Wörter", "de"), ("x", None)])
+    L.fit(docs, docs["doc_id"].isNotNull())
+    assert met == {"en": 9 * 20, "de": 1}
