@@ -46,3 +46,27 @@ def test_every_table_conforms(spark, sf_dir):
         assert df.count() == df.select(*spec.key).distinct().count() > 0
     with pytest.raises(KeyError):
         tables["unknown"]
+
+
+def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    """So that no task's rows, and with them its memory, grow with the input."""
+    from lectern import session
+    target, number = session._TARGET, session._PARTITIONS
+    spark.range(20_000).write.parquet(f"{tmp_path}/rows.parquet")
+    held = {k: spark.conf.get(k, None) for k in (target, number)}
+    try:
+        for k in held:
+            spark.conf.unset(k)
+        session.size_tasks(spark, [f"{tmp_path}/rows.parquet", f"{tmp_path}/absent.parquet"])
+        assert spark.conf.get(target) == str(session.TASK_BYTES)
+        assert spark.conf.get(number, None) is None
+        monkeypatch.setattr(session, "PARTITION_INPUT", 1000)
+        spark.conf.set(target, "5m")
+        session.size_tasks(spark, [f"{tmp_path}/rows.parquet"])
+        many = int(spark.conf.get(number))
+        assert many > 50 and spark.conf.get(target) == "5m"
+        session.size_tasks(spark, [])
+        assert int(spark.conf.get(number)) == many
+    finally:
+        for k, v in held.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
