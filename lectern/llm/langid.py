@@ -9,9 +9,9 @@ share one matrix product.
 
 A network knows its own labels only, and gives one of them to any text.  Whether a text is in
 a language learned at all is told by the share of its byte trigrams that are known, those that
-are not too rare in the labelled texts.  All of them are counted, by folds of equal texts: a
-text meets what the other folds hold, so none vouches for itself.  The least share is
-calibrated on all labelled texts.
+are not too rare in the labelled texts.  All of them are counted, by folds of equal texts.
+The least share is calibrated on all labelled texts, each by what the other folds hold, so
+that none vouches for itself there.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ PASS_RATE, MIXED = RATE / 8, 4096
 FOLDS, RARE = 8, 1 << 22
 #: A text may have so many times the unknown trigrams of the least familiar labelled texts,
 #: those below this quantile, which is told from shares in so many levels.
-MARGIN, QUANTILE, LEVELS = 2.0, 0.01, 1 << 16
+MARGIN, QUANTILE, LEVELS = 2.0, 0.02, 1 << 16
 #: Trigrams that a task counts at once, and sums that it holds.
 COUNTED, HELD_SUMS = 1 << 20, 1 << 21
 #: Bytes looked up at a time.
@@ -111,11 +111,11 @@ def fold_of(data: bytes) -> int:
     return zlib.crc32(data) % FOLDS
 
 
-def known_share(known: np.ndarray, data: bytes) -> float:
-    """Share of the text's trigrams that texts of other folds make known; 1 without any."""
-    n, found, fold = 0, 0, fold_of(data)
+def known_share(known: np.ndarray, data: bytes, folds: int = 255) -> float:
+    """Share of the text's trigrams known for one of the folds given as bits; 1 without any."""
+    n = found = 0
     for codes in stretches(data):
-        n, found = n + len(codes), found + int((known[codes] >> fold & 1).sum())
+        n, found = n + len(codes), found + int(np.count_nonzero(known[codes] & folds))
     return found / n if n else 1.0
 
 
@@ -180,8 +180,11 @@ def learn_vocabulary(rows: DataFrame, text: str = "text") -> Vocabulary:
     shared = rows.sparkSession.sparkContext.broadcast(known)
 
     def worker():
-        return lambda texts: [([known_share(shared.value, t.encode("utf-8", "replace"))
-                                for t in texts],)]
+        def work(texts):
+            data = [t.encode("utf-8", "replace") for t in texts]
+            yield ([known_share(shared.value, d, 1 << fold_of(d)) for d in data],)
+
+        return work
 
     shares = flat_python(texts, [col("text")], [("share", T.DoubleType())], worker)
     levels = shares.groupBy(F.floor(F.col("share") * LEVELS).alias("level")).agg(

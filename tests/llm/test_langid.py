@@ -102,7 +102,8 @@ def test_the_vocabulary_counts_every_trigram_of_every_text(spark):
             if own != fold:
                 known[L.trigrams(t.encode())] |= 1 << fold
     assert (found.known == known).all()
-    shares = [L.known_share(known, t.encode()) for t in texts]
+    shares = [L.known_share(known, t.encode(), 1 << fold)
+              for t, fold in zip(texts, folds, strict=True)]
     assert found.least == pytest.approx(max(0.0, 1 - L.MARGIN * (1 - min(shares))), abs=1e-9)
 
 
@@ -113,9 +114,9 @@ def test_rare_trigrams_are_unknown_whatever_the_number_of_texts(spark, monkeypat
     assert known[L.trigrams(b"abc")[0]] == 255 and known[L.trigrams(b"xyz")[0]] == 0
 
 
-def test_no_text_vouches_for_itself(spark):
+def test_no_text_vouches_for_itself_in_the_calibration(spark):
     known = L.learn_vocabulary(frame(spark, [("only here", "en")] * 5)).known
-    assert L.known_share(known, b"only here") == 0
+    assert L.known_share(known, b"only here", 1 << L.fold_of(b"only here")) == 0
 
 
 def test_the_network_learns_from_all_windows(spark, monkeypatch):
