@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lectern.operators.upsert import rows_to_insert
-from lectern.plans.pipelines import Lake, key_ranges, orphans, source_columns, waves
+from lectern.plans.pipelines import (
+    Lake, key_bounds, orphans, ranges_told, source_columns, waves,
+)
 from lectern.sources import landing
 from lectern.sources.landing import ARRIVAL, PROBLEM, MalformedFileError, route_files
 from lectern.specs import LAND_ORDER, TABLES
@@ -162,16 +164,16 @@ def land_rows(
             candidates = held if candidates is None else candidates.unionByName(held)
         if candidates is None:
             return
-        ranged = key_ranges(spec)
-        seen = candidates.agg(*ranged.values()).first()
-        ranges = {c: seen[f"range_{c}"] for c in ranged}
+        seen = candidates.agg(F.count("*").alias("rows"), *key_bounds(spec)).first()
+        ranges = ranges_told(spec, seen)
         ready, waiting = candidates, None
         if spec.foreign_keys and enforce:
             ready, waiting = split_orphans(lake, table, candidates, ranges)
         target = lake.source(table)
         new = rows_to_insert(
             target.read_between(*ranges[spec.key[0]]), ready, spec.key, [ARRIVAL],
-            F.lit(now).cast("timestamp"))
+            F.lit(now).cast("timestamp"), lake.work(f"{table}-met"),
+            seen["rows"] if waiting is None else None)
         target.append(new, ranges[spec.key[0]])
         # rows leave the parked table only now that they have landed; those not tried stay,
         # and a repeated batch parks nothing twice

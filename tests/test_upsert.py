@@ -297,3 +297,47 @@ def test_plain_tables_refuse_row_level_merges(spark, tmp_path):
             upsert.merge_into(kv(spark, (1, "a")), "merge_t", ["k"])
     finally:
         spark.sql("DROP TABLE merge_t")
+
+
+def test_only_keys_meet_before_an_insert(spark, tmp_path):
+    """Rows of keys that are new and occur once pass without a shuffle; others as before."""
+    schema = "k long, v string, n long"
+    path = str(tmp_path / "batch")
+    spark.createDataFrame([(k, f"v{k}", k) for k in range(20)], schema).write.parquet(path)
+    batch = spark.read.parquet(path)
+
+    def insert(target, batch, label):
+        return upsert.rows_to_insert(
+            target, batch, ["k"], ["n"], work=str(tmp_path / label), n_rows=batch.count())
+
+    new = insert(kv(spark), batch, "new")
+    assert "Exchange" not in new._jdf.queryExecution().executedPlan().toString()
+    assert sorted(new.toPandas()["k"]) == list(range(20))
+    assert insert(batch.drop("n"), batch, "held").isEmpty()
+    mixed = batch.unionByName(spark.createDataFrame([(7, "late", 99), (7, "first", -1)], schema))
+    target = batch.where("k < 5").drop("n")
+    got = insert(target, mixed, "mixed")
+    plain = upsert.rows_to_insert(target, mixed, ["k"], ["n"])
+    assert rows(got.orderBy("k")) == rows(plain.orderBy("k"))
+    assert [r["v"] for r in got.where("k = 7").collect()] == ["first"]
+    with pytest.raises(SparkRuntimeException, match="NULL in primary key"):
+        insert(kv(spark), spark.createDataFrame([(None, "x", 1)], schema), "null")
+
+
+def test_large_stored_batches_go_to_their_parts_without_a_shuffle(spark, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t"), SPEC, part_bits=2)
+    spark.range(32).selectExpr("id as k", "cast(id as string) as v").repartition(2) \
+        .write.parquet(str(tmp_path / "batch"))
+    batch = spark.read.schema(SPEC.schema).parquet(str(tmp_path / "batch"))
+    assert not table._large(batch)
+    monkeypatch.setattr(snapshots, "FILE_BYTES", 1)
+    assert table._large(batch)
+    hinted = []
+    hint = type(batch).hint
+    monkeypatch.setattr(type(batch), "hint", lambda df, *a: hinted.append(a) or hint(df, *a))
+    table.append(batch, stored=True)
+    assert not hinted and table.read().count() == 32
+    table.recreate()
+    assert table.upsert(batch)["inserted"] == 32 and not hinted
+    assert table.upsert(batch)["updated"] == 32 and hinted
+    assert sorted(r["k"] for r in table.read_between(4, 7).collect()) == [4, 5, 6, 7]
