@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import threading
 from pathlib import Path
 
 import pytest
@@ -209,6 +210,44 @@ def test_landing_keeps_the_first_of_repeated_rows(spark, tmp_path):
         pipelines.land_files(lake, "program", str(path), NOW)
 
 
+def test_places_of_rows_are_not_stored(spark, tmp_path):
+    path, lake = tmp_path / "program.csv", Lake(spark, str(tmp_path / "lake"))
+    path.write_text("program_id,class_of\nP,x\n")
+    pipelines.land_files(lake, "program", str(path), NOW)
+    parsed = spark.read.parquet(f"{lake.base}/work/*/program")
+    assert landing.ARRIVAL not in parsed.columns
+    assert rows(parsed.select("program_id", "class_of")) == [{"program_id": "P", "class_of": "x"}]
+
+
+def test_tables_wait_for_their_parents_only(spark, tmp_path, monkeypatch):
+    """Scores are still landing when students enroll, whose parents are there."""
+    lake, begun, enrolled = Lake(spark, str(tmp_path / "lake")), [], threading.Event()
+
+    def land(lake, table, *rest):
+        begun.append(table)
+        if table == "score_fact":
+            assert enrolled.wait(20)
+        if table == "enroll_student":
+            enrolled.set()
+
+    monkeypatch.setattr(pipelines, "land_files", land)
+    pipelines.land_bulk(lake, "in", NOW)
+    assert sorted(begun) == sorted(TABLES)
+    for spec in TABLES.values():
+        assert all(begun.index(fk.table) < begun.index(spec.name) for fk in spec.foreign_keys)
+
+    def refuse(lake, table, *rest):
+        begun.append(table)
+        if table == "program":
+            raise pipelines.ConstraintError(table)
+
+    begun.clear()
+    monkeypatch.setattr(pipelines, "land_files", refuse)
+    with pytest.raises(pipelines.ConstraintError):
+        pipelines.land_bulk(lake, "in", NOW)
+    assert not {"program_semester", "instruction_fact", "score_detail"} & set(begun)
+
+
 def test_landing_refuses_broken_constraints(spark, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     parent, child = tmp_path / "program.csv", tmp_path / "program_semester.csv"
